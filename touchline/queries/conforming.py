@@ -1 +1,143 @@
-"""Placeholder."""
+"""Current rows, unpivot, lookups and matching over the customer model."""
+
+from pyspark.sql import functions as F
+
+from touchline.functions.text import extract_id, infer_label, joined_id, tiered_code
+from touchline.operators import matching
+from touchline.operators.cdc import latest_per_key, one_per_key
+from touchline.operators.enrich import fill_from_group, lookup
+from touchline.operators.serving import semi_filter
+from touchline.plans import bridge
+from touchline.queries import sql
+from touchline.queries.registry import query
+
+LATEST_EVENT = """
+SELECT user_id, event_id, ts, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
+
+@query("latest_per_key_scd1", LATEST_EVENT)
+def latest_per_key_scd1(spark, sf_dir):
+    events = bridge.table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    return latest_per_key(events, ["user_id"], "ts", ["event_id"])
+
+
+@query("drop_duplicates_on_key", """
+SELECT l_suppkey, l_partkey, l_orderkey, l_linenumber, l_quantity FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_partkey
+                           ORDER BY l_orderkey, l_linenumber, l_quantity) = 1""")
+def drop_duplicates_on_key(spark, sf_dir):
+    lines = bridge.table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
+    return one_per_key(lines, ["l_suppkey", "l_partkey"], ["l_orderkey", "l_linenumber", "l_quantity"])
+
+
+@query("home_away_unpivot", f"WITH {sql.CUSTOMER_GAMES} SELECT * FROM csides")
+def home_away_unpivot(spark, sf_dir):
+    return bridge.customer_sides(spark, sf_dir)
+
+
+@query("fill_group_median", f"""
+WITH {sql.CUSTOMER_GAMES},
+med AS (SELECT season, quantile_disc(ppda_raw, 0.5) AS m FROM csides WHERE ppda_raw IS NOT NULL GROUP BY season)
+SELECT game_team_id, season, ppda_raw, coalesce(ppda_raw, m) AS ppda
+FROM csides LEFT JOIN med USING (season)""")
+def fill_group_median(spark, sf_dir):
+    sides = bridge.customer_sides(spark, sf_dir).select("game_team_id", "season", "ppda_raw")
+    return fill_from_group(sides, "ppda_raw", ["season"], "ppda", accuracy=1_000_000)
+
+
+@query("dimension_two_roles", f"""
+WITH {sql.CUSTOMER_GAMES}
+SELECT game_team_id, t.c_name AS master_team_name, o.c_name AS master_opp_name
+FROM csides LEFT JOIN customer t ON team = t.c_custkey LEFT JOIN customer o ON opponent = o.c_custkey""")
+def dimension_two_roles(spark, sf_dir):
+    names = bridge.table(spark, sf_dir, "customer")
+    sides = bridge.customer_sides(spark, sf_dir).select("game_team_id", "team", "opponent")
+    sides = lookup(sides, names, "team", "c_custkey", "c_name", "master_team_name")
+    sides = lookup(sides, names, "opponent", "c_custkey", "c_name", "master_opp_name")
+    return sides.select("game_team_id", "master_team_name", "master_opp_name")
+
+
+@query("best_match_join", f"""
+WITH {sql.CUSTOMER_GAMES}
+SELECT l.game_team_id, r.game_team_id AS matched_id, r.ppda_raw AS ppda, r.deep_completions
+FROM csides l LEFT JOIN csides r ON l.team = r.team AND l.opponent = r.opponent AND l.season = r.season
+QUALIFY row_number() OVER (PARTITION BY l.game_team_id
+  ORDER BY (l.venue <> r.venue), abs(datediff('day', l.date, r.date)), r.game_team_id) = 1""")
+def best_match_join(spark, sf_dir):
+    sides = bridge.customer_sides(spark, sf_dir)
+    left = sides.select("game_team_id", "team", "opponent", "season", "venue", "date")
+    right = sides.select("team", "opponent", "season", "venue", "date",
+                         F.col("game_team_id").alias("matched_id"), F.col("ppda_raw").alias("ppda"),
+                         "deep_completions")
+    matched = matching.best_match_join(left, right, ["team", "opponent", "season"], "venue", "date",
+                                       "matched_id", ["matched_id", "ppda", "deep_completions"])
+    return matched.select("game_team_id", "matched_id", "ppda", "deep_completions")
+
+
+@query("team_code_tiers", """
+SELECT n_nationkey, n_name,
+       coalesce(CASE WHEN n_nationkey % 2 = 0 THEN 'N' || n_nationkey END,
+                CASE n_name WHEN 'NATION_1' THEN 'ONE' WHEN 'NATION_2' THEN 'TWO'
+                            WHEN 'NATION_7' THEN 'SEV' WHEN 'NATION_11' THEN 'ELV' END,
+                upper(substr(n_name, 1, 3))) AS team_code
+FROM nation""")
+def team_code_tiers(spark, sf_dir):
+    provider = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))
+    return bridge.table(spark, sf_dir, "nation").select(
+        "n_nationkey", "n_name", tiered_code(provider, "n_name", bridge.NATION_CODES).alias("team_code"))
+
+
+@query("url_id_and_league", """
+WITH u AS (
+  SELECT o_orderkey, o_orderpriority AS team,
+         CASE WHEN o_orderkey % 11 = 3 THEN '/en/stathead/' || o_orderkey
+              WHEN o_orderkey % 11 <> 7 THEN '/en/matches/' || o_orderkey || '/x-' ||
+                   CASE o_orderkey % 6 WHEN 0 THEN 'Bundesliga' WHEN 1 THEN 'Premier-League'
+                     WHEN 2 THEN 'Ligue-1' WHEN 3 THEN 'Serie-A' WHEN 4 THEN 'La-Liga' ELSE 'Cup' END
+         END AS url,
+         CASE WHEN o_orderkey % 5 = 0 THEN 'KNOWN' END AS league0
+  FROM orders),
+v AS (
+  SELECT o_orderkey, team, regexp_extract(url, '/en/matches/([^/]+)/', 1) AS result_id,
+         coalesce(league0, CASE WHEN contains(url, 'Bundesliga') THEN 'GER-Bundesliga'
+           WHEN contains(url, 'Premier-League') THEN 'ENG-Premier League'
+           WHEN contains(url, 'Ligue-1') THEN 'FRA-Ligue 1' WHEN contains(url, 'Serie-A') THEN 'ITA-Serie A'
+           WHEN contains(url, 'La-Liga') THEN 'ESP-La Liga' END) AS league
+  FROM u)
+SELECT o_orderkey, result_id, result_id || '-' || team AS result_team_id, league
+FROM v WHERE league IS NOT NULL AND result_id IS NOT NULL""")
+def url_id_and_league(spark, sf_dir):
+    key = F.col("o_orderkey")
+    suffix = F.element_at(F.array(*[F.lit(s) for s in ("Bundesliga", "Premier-League", "Ligue-1",
+                                                       "Serie-A", "La-Liga", "Cup")]),
+                          (key % 6 + 1).cast("int"))
+    match = F.concat(F.lit("/en/matches/"), key.cast("string"), F.lit("/x-"), suffix)
+    url = (F.when(key % 11 == 3, F.concat(F.lit("/en/stathead/"), key.cast("string")))
+            .when(key % 11 != 7, match))
+    rows = bridge.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", url.alias("url"), F.when(key % 5 == 0, F.lit("KNOWN")).alias("known"))
+    result_id = extract_id("url")
+    return (rows.select("o_orderkey", result_id.alias("result_id"),
+                        joined_id(result_id, "o_orderpriority").alias("result_team_id"),
+                        infer_label("known", "url").alias("league"))
+                .dropna(subset=["league", "result_team_id"]))
+
+
+@query("page_url_id", """
+SELECT page_id, regexp_extract(url, '^https?://([^/]+)/', 1) AS host FROM pages""")
+def page_url_id(spark, sf_dir):
+    return bridge.table(spark, sf_dir, "pages").select(
+        "page_id", extract_id("url", r"^https?://([^/]+)/").alias("host"))
+
+
+@query("semi_filter", f"""
+WITH {sql.CUSTOMER_GAMES}
+SELECT game_team_id, team, venue FROM csides
+WHERE team IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def semi_filter_teams(spark, sf_dir):
+    teams = (bridge.table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
+                   .select(F.col("c_custkey").alias("team")))
+    sides = bridge.customer_sides(spark, sf_dir).select("game_team_id", "team", "venue")
+    return semi_filter(sides, teams, ["team"])
