@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.functions.casts import iso_text
 from touchline.functions.text import extract_id, joined_id, tiered_code
 from touchline.operators.enrich import outcome_columns, to_sides
+from touchline.sinks.tables import write_snapshot
 
 # Fixed values of the bridge: codes for some teams, the others fall back to letters.
 NATION_CODES = {"NATION_1": "ONE", "NATION_2": "TWO", "NATION_7": "SEV", "NATION_11": "ELV"}
@@ -127,3 +129,59 @@ def customer_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "ppda_raw": f"{own}_ppda", "deep_completions": f"{own}_deep_completions"}
     return to_sides(customer_games(spark, sf_dir), ["season", "date", "game_id"],
                     side("home", "away"), side("away", "home"))
+
+
+# Fixed values of the bridge: two weekly snapshots of the same matches.
+FIRST_RUN, SECOND_RUN = "2001-09-01", "2001-09-08"
+
+
+def land_nation_model(spark: SparkSession, sf_dir: str, landing: str) -> DataFrame:
+    """Land both providers' snapshots of the nation model; returns the name mapping.
+
+    In the first run nobody knows the goals yet. In the second they are text such
+    as '3.0', which does not fit the whole-number column of the first. The second
+    provider has no rows for low-priority orders.
+    """
+    games = nation_matches(spark, sf_dir)
+    rows = games.select(
+        "league", "season", "team", iso_text("date").alias("date"), "venue", "opponent",
+        F.col("goals").cast("bigint").alias("GF"), F.col("goals_allowed").cast("bigint").alias("GA"),
+        F.col("expected_goals").cast("double").alias("xG"),
+        F.col("expected_goals_allowed").cast("double").alias("xGA"),
+        F.col("possession").cast("double").alias("Poss"), F.lit("4-3-3").alias("Formation"),
+        F.lit("4-4-2").alias("Opp Formation"), "match_report")
+    unknown = F.lit(None).cast("bigint")
+    folder = f"{landing}/match_team_schedule"
+    write_snapshot(rows.withColumns({"GF": unknown, "GA": unknown}), folder, FIRST_RUN)
+    write_snapshot(rows.withColumns({c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("GF", "GA")}),
+                   folder, SECOND_RUN)
+
+    order = F.col("o_orderkey")
+    home = F.col("c_nationkey").cast("int")
+    away = ((F.col("c_nationkey") + 5 * (1 + order % 4)) % 25).cast("int")
+    day = F.col("o_orderdate").cast("date")
+    def club(key: Column) -> Column:
+        return F.concat(F.lit("N"), key.cast("string"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    advanced = (table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'")
+                .join(customers, F.col("o_custkey") == F.col("c_custkey")))
+    advanced = advanced.select(
+        F.lit("all").alias("league"), season_of(day).alias("season"), iso_text(day).alias("date"),
+        order.alias("game_id"), F.year(day).alias("season_id"),
+        home.alias("home_team_id"), away.alias("away_team_id"),
+        club(home).alias("home_team"), club(away).alias("away_team"),
+        F.when(order % 3 != 0, club(home)).alias("home_team_code"),
+        F.when(order % 3 != 0, club(away)).alias("away_team_code"),
+        F.lit(0).alias("home_points"), F.lit(0).alias("away_points"),
+        F.when(order % 7 != 0, (order % 160) / 8.0).alias("home_ppda"),
+        ((order % 96) / 8.0).alias("away_ppda"),
+        (order % 13).alias("home_deep_completions"), (order % 17).alias("away_deep_completions"))
+    folder = f"{landing}/match_team_stats_understat"
+    missing = F.lit(None).cast("double")
+    write_snapshot(advanced.withColumns({"home_ppda": missing, "away_ppda": missing}), folder, FIRST_RUN)
+    write_snapshot(advanced, folder, SECOND_RUN)
+
+    key = F.col("n_nationkey").cast("string")
+    return table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), key).alias("understat_club_name"),
+        F.concat(F.lit("NATION_"), key).alias("master_club_name"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.text import league_label, season_label
@@ -10,6 +10,8 @@ from touchline.operators.quality import Rule, enforce
 from touchline.operators.skew import MAX_GROUP_ROWS
 from touchline.operators.totals import last_n_form, season_totals
 from touchline.operators.trend import rolling_mean
+from touchline.plans.catalogue import Layout
+from touchline.sinks.tables import Published
 
 # The window length and the metrics of the trend table.
 WINDOW = 8
@@ -51,3 +53,12 @@ def rolling_stats(results: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> D
         F.col("team").alias("Team"), season_label("season").alias("Season"),
         league_label("league").alias("League"), F.col("date").alias("Date"),
         "Match_No", *TREND_METRICS)
+
+
+def run_gold(spark: SparkSession, layout: Layout) -> None:
+    """Recompute the three gold tables from the published results."""
+    results = Published(spark, layout.table("results")).read()
+    code = "team_code_understat"
+    for name, rows in {"headline_stats": headline_stats(results, code), "form_stats": form_stats(results, code),
+                       "rolling_stats": rolling_stats(results)}.items():
+        Published(spark, layout.table(name)).publish(rows)

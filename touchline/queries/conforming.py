@@ -77,16 +77,19 @@ def best_match_join(spark, sf_dir):
 
 
 @query("team_code_tiers", """
-SELECT n_nationkey, n_name,
-       coalesce(CASE WHEN n_nationkey % 2 = 0 THEN 'N' || n_nationkey END,
+SELECT c_custkey, n_name,
+       coalesce(CASE WHEN c_acctbal > 5000 THEN 'N' || n_nationkey END,
                 CASE n_name WHEN 'NATION_1' THEN 'ONE' WHEN 'NATION_2' THEN 'TWO'
                             WHEN 'NATION_7' THEN 'SEV' WHEN 'NATION_11' THEN 'ELV' END,
                 upper(substr(n_name, 1, 3))) AS team_code
-FROM nation""")
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def team_code_tiers(spark, sf_dir):
-    provider = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))
-    return bridge.table(spark, sf_dir, "nation").select(
-        "n_nationkey", "n_name", tiered_code(provider, "n_name", bridge.NATION_CODES).alias("team_code"))
+    """Provider code, else fixed table, else letters, for every customer."""
+    teams = bridge.table(spark, sf_dir, "customer").join(
+        bridge.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    provider = F.when(F.col("c_acctbal") > 5000, F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))
+    return teams.select("c_custkey", "n_name",
+                        tiered_code(provider, "n_name", bridge.NATION_CODES).alias("team_code"))
 
 
 @query("url_id_and_league", """
