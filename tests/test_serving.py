@@ -1,0 +1,85 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from touchline.operators.enrich import fill_from_group, lookup, to_sides
+from touchline.operators.recency import recent_count
+from touchline.operators.serving import Trace, compare_trends, distinct_values, filter_view, semi_filter
+from touchline.operators.totals import current_season, last_n
+from touchline.plans import views
+from touchline.plans.land import run_each
+
+
+def test_filters(spark, rows):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("a", "y")], "League string, Season string")
+    assert filter_view(df, {"League": "a", "Season": None}).count() == 2
+    assert filter_view(df, {"League": "a", "Season": "x"}).count() == 1
+    keys = spark.createDataFrame([("b",), ("b",), (None,)], "League string")
+    assert rows(semi_filter(df, keys, ["League"])) == [("b", "x")]
+    assert [r[0] for r in distinct_values(df, "Season", True).collect()] == ["y", "x"]
+
+
+def test_traces(spark, rows):
+    df = spark.createDataFrame([("a", 1, 1.0, 9.0), ("a", 2, 2.0, 8.0), ("b", 1, 5.0, 7.0), ("c", 1, 0.0, 0.0)],
+                               "Team string, Match_No int, PPG double, xGD_PPG double")
+    traces = [Trace("one", "PPG", {"Team": "a"}), Trace("two", "xGD_PPG", {"Team": "b"})]
+    assert rows(compare_trends(df, traces)) == [("one", 1, 1.0), ("one", 2, 2.0), ("two", 1, 7.0)]
+    assert rows(compare_trends(df, traces, aligned=True)) == [(1, 1.0, 7.0), (2, 2.0, None)]
+
+
+def test_lookup_needs_a_unique_key(spark, rows):
+    df = spark.createDataFrame([("a",), ("z",), (None,)], "k string")
+    names = spark.createDataFrame([("a", "A"), ("b", "B"), (None, "N")], "n string, master string")
+    assert rows(lookup(df, names, "k", "n", "master", "found")) == [(None, None), ("a", "A"), ("z", None)]
+    doubled = names.union(spark.createDataFrame([("a", "A2")], names.schema))
+    with pytest.raises(PySparkException, match="not unique"):
+        lookup(df, doubled, "k", "n", "master", "found").collect()
+
+
+def test_fill_from_group(spark, rows):
+    df = spark.createDataFrame([("s1", 1.0), ("s1", 3.0), ("s1", None), ("s2", None)], "s string, v double")
+    assert rows(fill_from_group(df, "v", ["s"], "w"), "s", "w") == [
+        ("s1", 1.0), ("s1", 1.0), ("s1", 3.0), ("s2", None)]
+
+
+def test_sides(spark, rows):
+    df = spark.createDataFrame([(1, "h", "a", 5)], "g int, home string, away string, gate int")
+    got = to_sides(df, ["g"], {"team": "home", "opponent": "away", "gate": "gate"}, {"team": "away", "opponent": "home"})
+    assert rows(got) == [(1, "a", "h", None, "Away"), (1, "h", "a", 5, "Home")]
+
+
+def test_recent_count(spark):
+    as_of = dt.date(2025, 8, 20)
+    data = [("2025-08-13T20:00:00", "/r"), ("2025-08-12T20:00:00", "/r"), ("2025-12-01T00:00:00", "/r"),
+            ("2025-08-19T00:00:00", None), (None, "/r"), ("soon", "/r")]
+    df = spark.createDataFrame(data, "date string, match_report string")
+    # The first day of the window counts, and future days pass.
+    assert recent_count(df, as_of=as_of) == 2
+
+
+def test_current_season_and_last_n(spark, rows):
+    df = spark.createDataFrame([("9900", 1), ("0102", 2), ("9900", 3)], "season string, i int")
+    assert rows(current_season(df)) == [("9900", 1), ("9900", 3)]
+    assert rows(last_n(df, ["season"], [F.col("i").desc()], 1)) == [("0102", 2), ("9900", 3)]
+
+
+def test_group_limit_runs_before_the_shuffle(spark):
+    plan = last_n(spark.range(100).withColumn("g", F.col("id") % 3), ["g"], [F.col("id").desc()], 8)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+
+
+def test_choices(spark):
+    table = spark.createDataFrame([("t", "l", 1, 2, 3.0)], ["Team", "League", "MP", "Points", "PPG"])
+    assert views.sort_choices(table) == ["Points", "PPG"]
+    assert views.plot_choices(table) == ["Points", "PPG"]
+
+
+def test_one_failure_does_not_stop_the_rest():
+    done = []
+    def boom():
+        raise ValueError("no data")
+    report = run_each({"a": lambda: done.append("a"), "b": boom, "c": lambda: done.append("c")})
+    assert done == ["a", "c"] and report == {"a": "ok", "b": "failed: ValueError: no data", "c": "ok"}
