@@ -95,11 +95,11 @@ def test_bands_of_hot_groups(series, rows, limit):
     assert rows(quartile_bands(df, "v", ["g"], max_group_rows=limit), "g", "i", "v", "Quartile") == plain
 
 
-@pytest.mark.parametrize("max_bytes", [0, 10**9])
-def test_attach(series, rows, max_bytes):
+@pytest.mark.parametrize("max_bytes, limit", [(0, 50), (0, 10_000), (10**9, 50)])
+def test_attach(series, rows, max_bytes, limit):
     df, data = series
     small = df.groupBy("g").agg(F.count("*").alias("c"))
-    got = rows(attach(df, small, ["g"], max_bytes, salts=4), "g", "i", "c")
+    got = rows(attach(df, small, ["g"], max_bytes, limit), "g", "i", "c")
     sizes = {g: len(items) for g, items in by_group(data).items()}
     assert len(got) == len(data) and all(c == sizes[g] for g, _, c in got)
 

@@ -18,7 +18,6 @@ from touchline.session import freeze
 
 MAX_GROUP_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
 # monotonically_increasing_id keeps the partition number above this bit.
 PARTITION_SHIFT = 33
 
@@ -44,14 +43,30 @@ def _same(keys: Sequence[str]) -> Column:
                   [quoted(k).eqNullSafe(F.col(f"_on{i}")) for i, k in enumerate(keys)])
 
 
-def attach(df: DataFrame, small: DataFrame, on: Sequence[str],
-           max_bytes: int = MAX_BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
-    """Left join of one-row-per-key `small` onto `df`; NULL keys meet NULL keys.
+def join_by_key(df: DataFrame, side: DataFrame, on: Sequence[str],
+                max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Left join of a one-row-per-key `side` of any size; NULL keys meet NULL keys.
+
+    Spark picks the strategy from the measured sizes. Keys that hold more than
+    `max_group_rows` rows of `df` are taken out first: their few rows of `side`
+    (one per hot key) are broadcast, so a hot key never fills one task.
+    """
+    result = [*df.columns, *[c for c in side.columns if c not in on]]
+    normal, hot, keys = split_hot(df, on, max_group_rows)
+    parts = [normal.join(_keyed(side, on), _same(on), "left")]
+    if hot is not None:
+        few = side.join(F.broadcast(_keyed(keys.drop("_n"), on)), _same(on), "left_semi")
+        parts.append(hot.join(F.broadcast(_keyed(few, on)), _same(on), "left"))
+    return reduce(DataFrame.unionByName, [p.select(*[quoted(c) for c in result]) for p in parts])
+
+
+def attach(df: DataFrame, small: DataFrame, on: Sequence[str], max_bytes: int = MAX_BROADCAST_BYTES,
+           max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Left join of an aggregate of `df`, one row per key, back onto its rows.
 
     `small` is computed once into the shared folder and counted. Below
-    `max_bytes` it is broadcast, so `df` is not shuffled at all. Above it, both
-    sides are shuffled on the key plus a salt, so a hot key of `df` is spread
-    over `salts` tasks.
+    `max_bytes` it is broadcast, so `df` is not shuffled at all; above it,
+    `join_by_key` takes over.
     """
     result = [*df.columns, *[c for c in small.columns if c not in on]]
     if not on:
@@ -61,13 +76,19 @@ def attach(df: DataFrame, small: DataFrame, on: Sequence[str],
     if small.count() * row_bytes(small) <= max_bytes:
         joined = df.join(F.broadcast(small), _same(on), "left")
     else:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]),
-                                               F.lit(salts)).cast("int"))
-        spread = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = salted.join(spread, _same(on) & (F.col("_salt") == F.col("_copy")), "left")
+        named = small.withColumnsRenamed({f"_on{i}": k for i, k in enumerate(on)})
+        joined = join_by_key(df, named, on, max_group_rows)
     return joined.select(*[quoted(c) for c in result])
 
 
+def split_by(df: DataFrame, keys_table: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is not in `keys_table`, rows whose key is)."""
+    side = _keyed(keys_table.select(*[quoted(k) for k in on]), on)
+    if keys_table.count() * row_bytes(side) <= MAX_BROADCAST_BYTES:
+        side = F.broadcast(side)
+    return df.join(side, _same(on), "left_anti"), df.join(side, _same(on), "left_semi")
+
+
 def split_hot(df: DataFrame, keys: Sequence[str],
               max_group_rows: int) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
     """(rows of normal groups, rows of hot groups, hot keys with `_n`).
@@ -78,16 +99,13 @@ def split_hot(df: DataFrame, keys: Sequence[str],
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.filter(F.col("_n") > max_group_rows)
-    found = hot.count()
-    if not found:
+    if not hot.count():
         return df, None, None
     hot = freeze(hot)
     if not keys:
         return None, df, hot
-    side = _keyed(hot, keys)
-    if found * row_bytes(hot) <= MAX_BROADCAST_BYTES:
-        side = F.broadcast(side)
-    return df.join(side, _same(keys), "left_anti"), df.join(side, _same(keys), "left_semi"), hot
+    normal, large = split_by(df, hot, keys)
+    return normal, large, hot
 
 
 def number_hot_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column],

@@ -13,6 +13,7 @@ from touchline.plans import bridge, views
 from touchline.plans.gold import rolling_stats
 from touchline.queries import sql
 from touchline.queries.registry import query
+from touchline.session import freeze
 
 TOTALS_SQL = f"WITH {sql.NATION_RESULTS}, tot AS ({sql.totals('res')})"
 FORM_SQL = f"WITH {sql.NATION_RESULTS}, {sql.RECENT}, form AS ({sql.totals('recent')})"
@@ -24,11 +25,12 @@ def display_list(columns, skip=()):
 
 
 def totals(spark, sf_dir):
-    return season_totals(bridge.nation_results(spark, sf_dir))
+    """The stored totals table: views are read many times, so it is computed once."""
+    return freeze(season_totals(bridge.nation_results(spark, sf_dir)))
 
 
 def form(spark, sf_dir):
-    return last_n_form(bridge.nation_results(spark, sf_dir))
+    return freeze(last_n_form(bridge.nation_results(spark, sf_dir)))
 
 
 @query("display_projection", f"""
