@@ -10,6 +10,8 @@ from pyspark.sql.types import StringType, StructType
 
 from touchline.functions.casts import is_infinite_text, to_number, whole_or_zero
 
+PROFILE = "column_name string, has_number boolean, numeric_rows bigint, infinite_rows bigint"
+
 
 def quoted(name: str) -> Column:
     """A column by its exact name, whatever characters it holds."""
@@ -73,13 +75,13 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     A single pass: one global aggregate, unfolded afterwards.
     """
     names = text_columns(df, columns)
-    measures = F.array(*[
-        F.struct(F.lit(c).alias("column_name"),
-                 F.coalesce(F.bool_or(to_number(quoted(c)).isNotNull()), F.lit(False)).alias("has_number"),
-                 F.count_if(to_number(quoted(c)).isNotNull()).alias("numeric_rows"),
-                 F.count_if(is_infinite_text(quoted(c))).alias("infinite_rows"))
-        for c in names])
-    return df.agg(measures.alias("_m")).select(F.inline("_m"))
+    if not names:
+        return df.sparkSession.createDataFrame([], PROFILE)
+    def row(c: str) -> Column:
+        numbers = F.count_if(to_number(quoted(c)).isNotNull())
+        return F.struct(F.lit(c).alias("column_name"), (numbers > 0).alias("has_number"),
+                        numbers.alias("numeric_rows"), F.count_if(is_infinite_text(quoted(c))).alias("infinite_rows"))
+    return df.agg(F.array(*[row(c) for c in names]).alias("_m")).select(F.inline("_m"))
 
 
 def numeric_text_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:

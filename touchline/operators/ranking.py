@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.columns import quoted
-from touchline.operators.skew import MAX_GROUP_ROWS, attach, number_rows, split_hot
+from touchline.operators.skew import MAX_GROUP_ROWS, attach, number_hot_rows, number_rows, split_hot
 
 # Band names from low to high, and the metrics where low is good.
 BANDS = ("Q1 (Low)", "Q2", "Q3", "Q4 (High)")
@@ -56,7 +56,8 @@ def group_quantiles(df: DataFrame, metric: str, probs: Sequence[float], within:
         parts.append(normal.groupBy(*within).agg(
             F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias(out)))
     if hot is not None:
-        ranked = number_rows(hot, within, [F.col("_v").asc()], "_no", max_group_rows)
+        rows = sizes.agg(F.sum("_n")).first()[0]
+        ranked = number_hot_rows(hot, within, [F.col("_v").asc()], rows, "_no", max_group_rows)
         ranked = attach(ranked, sizes, list(within))
         def at(p: float) -> Column:
             place = F.lit(p) * (F.col("_n") - 1)

@@ -8,8 +8,11 @@ measures are whole numbers or multiples of 1/32, so sums are exact.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.functions.casts import iso_text
 from touchline.functions.text import extract_id, joined_id, tiered_code
@@ -20,8 +23,15 @@ from touchline.sinks.tables import write_snapshot
 NATION_CODES = {"NATION_1": "ONE", "NATION_2": "TWO", "NATION_7": "SEV", "NATION_11": "ELV"}
 
 
+@cache
+def _schema(application: str, path: str) -> StructType:
+    """A table's schema, read from its footer once per application."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark.sparkContext.applicationId, path)).parquet(path)
 
 
 def season_of(day: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline.functions.text import plot_label
 from touchline.operators.columns import display_names, metric_columns, project_existing
 from touchline.operators.ranking import medians, position, quartile_bands
-from touchline.operators.serving import filter_view
+from touchline.operators.serving import Trace, compare_trends, filter_view, semi_filter
 from touchline.operators.skew import MAX_GROUP_ROWS
 
 # Display columns in order, and the columns that are no metric.
@@ -39,14 +39,14 @@ def view(table: DataFrame, league: str | None = None, season: str | None = None,
 def league_table(table: DataFrame, league: str, season: str | None = None) -> DataFrame:
     """One league by points; pass a season for totals, none for the form table."""
     ranked = position(view(table, league, season), "Points")
-    return project_existing(ranked, LEAGUE_ORDER)
+    return project_existing(ranked, LEAGUE_ORDER).orderBy("Position")
 
 
 def combined_table(table: DataFrame, season: str | None, sort_by: str = "PPG",
                    ascending: bool = False) -> DataFrame:
     """All leagues of one season by any metric."""
     ranked = position(view(table, season=season), sort_by, ascending, ties=("Team", "League"))
-    return project_existing(ranked, COMBINED_ORDER)
+    return project_existing(ranked, COMBINED_ORDER).orderBy("Position")
 
 
 def historic_table(table: DataFrame, league: str | None = None, team: str | None = None,
@@ -55,7 +55,15 @@ def historic_table(table: DataFrame, league: str | None = None, team: str | None
     """All seasons, optionally of one league or team, by any metric."""
     ranked = position(view(table, league, team=team), sort_by, ascending, ties=("Team", "Season", "League"),
                       max_group_rows=max_group_rows)
-    return project_existing(ranked, HISTORIC_ORDER)
+    return project_existing(ranked, HISTORIC_ORDER).orderBy("Position")
+
+
+def trend_chart(rolling: DataFrame, traces: Sequence[Trace], shown: DataFrame | None = None,
+                aligned: bool = False) -> DataFrame:
+    """Traces in match order; with `shown`, only teams of that view can appear."""
+    rows = rolling if shown is None else semi_filter(rolling, shown, ["Team"])
+    order = ["Match_No"] if aligned else ["trace", "Match_No"]
+    return compare_trends(rows, traces, aligned=aligned).orderBy(*order)
 
 
 def sort_choices(table: DataFrame, order: Sequence[str] = HISTORIC_ORDER) -> list[str]:

@@ -193,7 +193,7 @@ WHERE "Team" = 'NATION_0' AND "Season" = '2019/20'
 UNION ALL SELECT 'NATION_7 2018/19 - xGD_PPG', "Match_No", "xGD_PPG" FROM rolling
 WHERE "Team" = 'NATION_7' AND "Season" = '2018/19'""")
 def trend_compare(spark, sf_dir):
-    return compare_trends(rolling_stats(bridge.nation_results(spark, sf_dir)), [
+    return views.trend_chart(rolling_stats(bridge.nation_results(spark, sf_dir)), [
         Trace("NATION_0 2019/20 - PPG", "PPG", {"Team": "NATION_0", "Season": "2019/20"}),
         Trace("NATION_7 2018/19 - xGD_PPG", "xGD_PPG", {"Team": "NATION_7", "Season": "2018/19"})])
 
@@ -205,7 +205,7 @@ FROM (SELECT * FROM rolling WHERE "Team" = 'NATION_0' AND "Season" = '2019/20')
 FULL JOIN (SELECT * FROM rolling WHERE "Team" = 'NATION_7' AND "Season" = '2018/19') b
   ON a."Match_No" = b."Match_No" """)
 def trend_compare_aligned(spark, sf_dir):
-    return compare_trends(rolling_stats(bridge.nation_results(spark, sf_dir)), [
+    return views.trend_chart(rolling_stats(bridge.nation_results(spark, sf_dir)), [
         Trace("first", "G_PG", {"Team": "NATION_0", "Season": "2019/20"}),
         Trace("second", "GA_PG", {"Team": "NATION_7", "Season": "2018/19"})], aligned=True)
 

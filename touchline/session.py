@@ -21,6 +21,8 @@ def build_session(app: str = "touchline", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Call-site capture costs a round trip per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }

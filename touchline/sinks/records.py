@@ -14,7 +14,8 @@ RECORD = "version long, body string"
 
 
 def append_record(spark: SparkSession, location: str, version: int, body: str) -> None:
-    spark.createDataFrame([(version, body)], RECORD).coalesce(1).write.mode("append").json(location)
+    record = spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(body).alias("body"))
+    record.coalesce(1).write.mode("append").json(location)
 
 
 def latest_record(spark: SparkSession, location: str) -> tuple[int, str] | None:
