@@ -10,6 +10,7 @@ from touchline.operators.serving import Trace, compare_trends, distinct_values,
 from touchline.operators.totals import current_season, last_n
 from touchline.plans import views
 from touchline.plans.land import run_each
+from touchline.session import scratch_dir
 
 
 def test_filters(spark, rows):
@@ -17,7 +18,8 @@ def test_filters(spark, rows):
     assert filter_view(df, {"League": "a", "Season": None}).count() == 2
     assert filter_view(df, {"League": "a", "Season": "x"}).count() == 1
     keys = spark.createDataFrame([("b",), ("b",), (None,)], "League string")
-    assert rows(semi_filter(df, keys, ["League"])) == [("b", "x")]
+    for limits in ((10**9, 10), (0, 10), (0, 1)):
+        assert rows(semi_filter(df, keys, ["League"], *limits)) == [("b", "x")]
     assert [r[0] for r in distinct_values(df, "Season", True).collect()] == ["y", "x"]
 
 
@@ -32,7 +34,9 @@ def test_traces(spark, rows):
 def test_lookup_needs_a_unique_key(spark, rows):
     df = spark.createDataFrame([("a",), ("z",), (None,)], "k string")
     names = spark.createDataFrame([("a", "A"), ("b", "B"), (None, "N")], "n string, master string")
-    assert rows(lookup(df, names, "k", "n", "master", "found")) == [(None, None), ("a", "A"), ("z", None)]
+    for limits in ((10**9, 10), (0, 10), (0, 0)):
+        got = rows(lookup(df, names, "k", "n", "master", "found", *limits))
+        assert got == [(None, None), ("a", "A"), ("z", None)]
     doubled = names.union(spark.createDataFrame([("a", "A2")], names.schema))
     with pytest.raises(PySparkException, match="not unique"):
         lookup(df, doubled, "k", "n", "master", "found").collect()
@@ -83,3 +87,11 @@ def test_one_failure_does_not_stop_the_rest():
         raise ValueError("no data")
     report = run_each({"a": lambda: done.append("a"), "b": boom, "c": lambda: done.append("c")})
     assert done == ["a", "c"] and report == {"a": "ok", "b": "failed: ValueError: no data", "c": "ok"}
+
+
+def test_views_are_filtered_and_pruned_at_the_scan(spark):
+    place = scratch_dir(spark, "test")
+    spark.createDataFrame([("a", "x", 1, 2)], "League string, Season string, xGD_W int, unused int").write.parquet(place)
+    shown = views.view(spark.read.parquet(place), league="a").select("Season", "xGD W")
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(League,a)" in plan and "unused" not in plan.split("ReadSchema")[1]

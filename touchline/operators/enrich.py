@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.outcomes import DECIDED_MARGIN, expected_result, match_result, result_points
-from touchline.operators.skew import MAX_BROADCAST_BYTES, attach
+from touchline.operators.skew import MAX_BROADCAST_BYTES, MAX_GROUP_ROWS, attach
 
 
 def to_sides(df: DataFrame, keep: Sequence[str], home: Mapping[str, str | Column],
@@ -64,15 +64,15 @@ def unique_dimension(dim: DataFrame, key: str, value: str) -> DataFrame:
                                 .otherwise(clash.cast(dim.schema[value].dataType)).alias(value))
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str,
+           max_bytes: int = MAX_BROADCAST_BYTES, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Left lookup of one value in a dimension with a unique key.
 
-    No hint: Spark broadcasts the dimension while its measured size is below
-    the session's threshold and shuffles (with skew splits) beyond it.
+    The dimension is broadcast only below `max_bytes`; a larger one is joined by
+    shuffle with the hot keys of `df` set apart.
     """
-    side = unique_dimension(dim, dim_key, value).select(
-        F.col(dim_key).alias("_dim_key"), F.col(value).alias(out))
-    return df.join(side, F.col(key) == F.col("_dim_key"), "left").drop("_dim_key")
+    side = unique_dimension(dim, dim_key, value).select(F.col(dim_key).alias(key), F.col(value).alias(out))
+    return attach(df, side, [key], max_bytes, max_group_rows)
 
 
 def outcome_columns(df: DataFrame, scored: str = "goals", conceded: str = "goals_allowed",

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.columns import quoted
+from touchline.operators.skew import MAX_BROADCAST_BYTES, MAX_GROUP_ROWS, attach
 
 
 def filter_view(df: DataFrame, equals: Mapping[str, Any]) -> DataFrame:
@@ -21,10 +22,15 @@ def filter_view(df: DataFrame, equals: Mapping[str, Any]) -> DataFrame:
     return df
 
 
-def semi_filter(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key appears in `keys`. The keys are made distinct first, so a
-    key that fills a third of either side is one row on the right."""
-    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
+def semi_filter(df: DataFrame, keys: DataFrame, on: Sequence[str],
+                max_bytes: int = MAX_BROADCAST_BYTES, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Rows whose key appears in `keys`; a NULL key appears nowhere.
+
+    The keys are made distinct first, so a key that fills a third of either side
+    is one row on the right, and small key sets are broadcast.
+    """
+    wanted = keys.select(*on).dropna().distinct().withColumn("_wanted", F.lit(True))
+    return attach(df, wanted, list(on), max_bytes, max_group_rows).filter("_wanted").drop("_wanted")
 
 
 def distinct_values(df: DataFrame, column: str, descending: bool = False) -> DataFrame:

@@ -18,6 +18,8 @@ from touchline.session import freeze
 
 MAX_GROUP_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# More slices than this cost more to plan than they save; a larger slice spills.
+MAX_SLICES = 10_000
 # monotonically_increasing_id keeps the partition number above this bit.
 PARTITION_SHIFT = 33
 
@@ -38,25 +40,28 @@ def _keyed(small: DataFrame, keys: Sequence[str]) -> DataFrame:
                         *[quoted(c) for c in small.columns if c not in keys])
 
 
-def _same(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b,
-                  [quoted(k).eqNullSafe(F.col(f"_on{i}")) for i, k in enumerate(keys)])
+def _same(keys: Sequence[str], null_safe: bool = True) -> Column:
+    pairs = [(quoted(k), F.col(f"_on{i}")) for i, k in enumerate(keys)]
+    return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
 def join_by_key(df: DataFrame, side: DataFrame, on: Sequence[str],
-                max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Left join of a one-row-per-key `side` of any size; NULL keys meet NULL keys.
-
-    Spark picks the strategy from the measured sizes. Keys that hold more than
-    `max_group_rows` rows of `df` are taken out first: their few rows of `side`
-    (one per hot key) are broadcast, so a hot key never fills one task.
+                max_group_rows: int = MAX_GROUP_ROWS, null_safe: bool = True) -> DataFrame:
+    """Left join of a one-row-per-key `side` of any size.
+
+    Keys that hold more than `max_group_rows` rows of `df` are taken out first:
+    their few rows of `side` (one per hot key) are broadcast, so a hot key never
+    fills one task. (Adaptive skew splitting alone would not do: it leaves a join
+    alone whose other input comes straight from an aggregate.) NULL keys meet
+    NULL keys unless `null_safe` is off, which spares an aggregated `side` its
+    second shuffle.
     """
     result = [*df.columns, *[c for c in side.columns if c not in on]]
     normal, hot, keys = split_hot(df, on, max_group_rows)
-    parts = [normal.join(_keyed(side, on), _same(on), "left")]
+    parts = [normal.join(_keyed(side, on), _same(on, null_safe), "left")]
     if hot is not None:
         few = side.join(F.broadcast(_keyed(keys.drop("_n"), on)), _same(on), "left_semi")
-        parts.append(hot.join(F.broadcast(_keyed(few, on)), _same(on), "left"))
+        parts.append(hot.join(F.broadcast(_keyed(few, on)), _same(on, null_safe), "left"))
     return reduce(DataFrame.unionByName, [p.select(*[quoted(c) for c in result]) for p in parts])
 
 
@@ -98,10 +103,9 @@ def split_hot(df: DataFrame, keys: Sequence[str],
     third part are None; without keys the whole table is one group.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > max_group_rows)
-    if not hot.count():
+    hot = freeze(sizes.filter(F.col("_n") > max_group_rows))
+    if hot.isEmpty():
         return df, None, None
-    hot = freeze(hot)
     if not keys:
         return None, df, hot
     normal, large = split_by(df, hot, keys)
@@ -120,7 +124,7 @@ def number_hot_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """
     tie = F.xxhash64(*[quoted(c) for c in df.columns])
     sort = [*[quoted(k).asc_nulls_first() for k in keys], *order, tie.asc()]
-    slices = max(2, -(-rows // rows_per_task))
+    slices = min(MAX_SLICES, max(2, -(-rows // rows_per_task)))
     placed = freeze(df.repartitionByRange(slices, *sort).sortWithinPartitions(*sort)
                       .withColumn("_place", F.monotonically_increasing_id()))
     placed = placed.withColumn("_slice", F.shiftright("_place", PARTITION_SHIFT))

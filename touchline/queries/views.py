@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.operators.columns import display_names, project_existing
 from touchline.operators.ranking import group_quantiles, position, quartile_bands
 from touchline.operators.serving import Trace, compare_trends, distinct_values, semi_filter
+from touchline.operators.skew import MAX_GROUP_ROWS
 from touchline.operators.totals import last_n_form, season_totals
 from touchline.plans import bridge, views
 from touchline.plans.gold import rolling_stats
@@ -109,13 +110,18 @@ def historic_table(spark, sf_dir):
     return views.historic_table(totals(spark, sf_dir))
 
 
+def slice_rows(df):
+    """Rows per task for one big group: the default, less where the table is small."""
+    return min(MAX_GROUP_ROWS, max(1_000, df.count() // 64))
+
+
 @query("order_position_whole_table", """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS "Position"
 FROM orders""")
 def order_position_whole_table(spark, sf_dir):
-    """Numbers a whole table as one view, in slices of at most 5,000 rows."""
+    """Numbers a whole table as one view, in sorted slices."""
     orders = bridge.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return position(orders, "o_totalprice", ties=["o_orderkey"], max_group_rows=5_000).select(
+    return position(orders, "o_totalprice", ties=["o_orderkey"], max_group_rows=slice_rows(orders)).select(
         "o_orderkey", "Position")
 
 
@@ -162,7 +168,7 @@ def line_quantiles_hot_groups(spark, sf_dir):
     """Three groups with a third of all lines each, ranked in slices."""
     lines = bridge.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
     edges = group_quantiles(lines, "l_quantity", [0.25, 0.5, 0.75], ["l_returnflag"],
-                            max_group_rows=5_000)
+                            max_group_rows=slice_rows(lines))
     return edges.select("l_returnflag", *[F.col("edges")[i].alias(f"q{i + 1}") for i in range(3)])
 
 
