@@ -2,6 +2,9 @@ import pytest
 from pyspark.errors import PySparkException
 
 from touchline.operators.quality import Rule, enforce, expect, not_null, violations
+from touchline.session import scratch_dir
+from touchline.sources.landing import scan_landing
+from touchline.streaming.ingest import append_stream
 
 
 @pytest.fixture
@@ -30,3 +33,13 @@ def test_dropped_rows_never_fail(points, rows):
 
 def test_without_rules(points):
     assert enforce(points, []).count() == 4
+
+
+def test_rules_on_a_stream(spark, rows):
+    place = scratch_dir(spark, "test")
+    spark.createDataFrame([("a", 1), ("b", None)], "k string, v int").write.parquet(f"{place}/in")
+    stream = scan_landing(spark, f"{place}/in", spark.createDataFrame([], "k string, v int").schema, True)
+    kept, seen = expect(stream.select("k", "v"), not_null("v", action="drop"), "stream_rules")
+    assert seen is None
+    append_stream(kept, f"{place}/t", f"{place}/c")
+    assert rows(spark.read.parquet(f"{place}/t"), "k", "v") == [("a", 1)]
