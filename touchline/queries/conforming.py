@@ -144,3 +144,29 @@ def semi_filter_teams(spark, sf_dir):
                    .select(F.col("c_custkey").alias("team")))
     sides = bridge.customer_sides(spark, sf_dir).select("game_team_id", "team", "venue")
     return semi_filter(sides, teams, ["team"])
+
+
+@query("crowded_match_join", """
+WITH o AS (
+  SELECT o_orderkey, o_orderstatus AS team, o_orderpriority AS opponent,
+         CASE WHEN o_totalprice < 250000 THEN 'Home' ELSE 'Away' END AS venue, CAST(o_orderdate AS DATE) AS date
+  FROM orders),
+held AS (SELECT team, opponent, venue, date, min(o_orderkey) AS id FROM o GROUP BY ALL),
+asked AS (SELECT DISTINCT team, opponent, venue, date + 3 AS date FROM o),
+picked AS (
+  SELECT a.*, h.id FROM asked a JOIN held h ON a.team = h.team AND a.opponent = h.opponent
+  QUALIFY row_number() OVER (PARTITION BY a.team, a.opponent, a.venue, a.date
+    ORDER BY (a.venue <> h.venue), abs(datediff('day', a.date, h.date)), h.id) = 1)
+SELECT o.o_orderkey, p.id AS matched_id FROM o JOIN picked p
+  ON o.team = p.team AND o.opponent = p.opponent AND o.venue = p.venue AND o.date + 3 = p.date""")
+def crowded_match_join(spark, sf_dir):
+    """Fifteen keys share all orders: each row finds its nearest counterpart without pairs."""
+    venue = F.when(F.col("o_totalprice") < 250000, "Home").otherwise("Away")
+    rows = bridge.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderstatus").alias("team"), F.col("o_orderpriority").alias("opponent"),
+        venue.alias("venue"), F.col("o_orderdate").cast("date").alias("date"))
+    left = rows.withColumn("date", F.date_add("date", 3))
+    right = rows.withColumnRenamed("o_orderkey", "matched_id")
+    matched = matching.best_match_join(left, right, ["team", "opponent"], "venue", "date",
+                                       "matched_id", ["matched_id"])
+    return matched.select("o_orderkey", "matched_id")

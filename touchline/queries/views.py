@@ -10,6 +10,7 @@ from touchline.operators.ranking import group_quantiles, position, quartile_band
 from touchline.operators.serving import Trace, compare_trends, distinct_values, semi_filter
 from touchline.operators.skew import MAX_GROUP_ROWS
 from touchline.operators.totals import last_n_form, season_totals
+from touchline.operators.trend import rolling_mean
 from touchline.plans import bridge, views
 from touchline.plans.gold import rolling_stats
 from touchline.queries import sql
@@ -172,6 +173,21 @@ def line_quantiles_hot_groups(spark, sf_dir):
     return edges.select("l_returnflag", *[F.col("edges")[i].alias(f"q{i + 1}") for i in range(3)])
 
 
+LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+
+@query("line_rolling_hot_groups", f"""
+SELECT l_returnflag, l_orderkey, l_linenumber, row_number() OVER s AS "Match_No",
+       avg(l_quantity) OVER (s ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS mean_quantity
+FROM lineitem WINDOW s AS (PARTITION BY l_returnflag ORDER BY {', '.join(LINE_ORDER)})""")
+def line_rolling_hot_groups(spark, sf_dir):
+    """Three series with a third of all lines each, cut into stretches."""
+    lines = bridge.table(spark, sf_dir, "lineitem").select("l_returnflag", *LINE_ORDER)
+    trend = rolling_mean(lines, ["l_returnflag"], [F.col(c).asc() for c in LINE_ORDER],
+                         {"mean_quantity": "l_quantity"}, max_group_rows=slice_rows(lines))
+    return trend.select("l_returnflag", "l_orderkey", "l_linenumber", "Match_No", "mean_quantity")
+
+
 @query("median_benchmarks", f"""
 {TOTALS_SQL}
 SELECT "Season", median(CAST("xG" AS DOUBLE)) AS "median_xG", median(CAST("G" AS DOUBLE)) AS "median_G"
