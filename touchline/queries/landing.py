@@ -1,4 +1,4 @@
-"""Files in and out: snapshots, drift, streams and the whole pipeline."""
+"""Files in and out: snapshots, drift, streams and a full run."""
 
 import datetime as dt
 from functools import cache
@@ -178,22 +178,22 @@ def schema_drift_scan(spark, sf_dir):
 
 
 @cache
-def finished_pipeline(application, sf_dir):
+def finished_layout(application, sf_dir):
     """Land the nation model and run all stages, once per session and directory."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    work = scratch_dir(spark, "pipeline")
+    work = scratch_dir(spark, "full-run")
     layout = Layout(f"{work}/landing", f"{work}/warehouse")
     mapping = bridge.land_nation_model(spark, sf_dir, layout.landing)
     run_pipeline(spark, layout, mapping, as_of=dt.date(2001, 7, 1))
     return layout
 
 
-def pipeline(spark, sf_dir):
-    return finished_pipeline(spark.sparkContext.applicationId, sf_dir)
+def full_run(spark, sf_dir):
+    return finished_layout(spark.sparkContext.applicationId, sf_dir)
 
 
-PIPELINE_SQL = f"""
+FULL_RUN_SQL = f"""
 WITH {sql.NATION_RESULTS},
 adv AS (
   SELECT game_id, {sql.SEASON.replace('o_orderdate', 'date')} AS season, date, h, a,
@@ -221,15 +221,15 @@ silver AS (
 """
 
 
-@query("pipeline_results", PIPELINE_SQL + """
+@query("full_run_results", FULL_RUN_SQL + """
 SELECT result_team_id, result_id, team_id, league, season, date, team, opponent, venue, result, expected_result,
        points, expected_result_points, goals, goals_allowed, goal_difference, expected_goals,
        expected_goals_allowed, expected_goal_difference, possession, result_team_id_understat,
        result_id_understat, team_understat, team_code AS team_code_understat, ppda, deep_completions
 FROM silver""")
-def pipeline_results(spark, sf_dir):
+def full_run_results(spark, sf_dir):
     """The silver table of a run over landed snapshots of both providers."""
-    return Published(spark, pipeline(spark, sf_dir).table("results")).read().select(
+    return Published(spark, full_run(spark, sf_dir).table("results")).read().select(
         "result_team_id", "result_id", "team_id", "league", "season", "date", "team", "opponent", "venue",
         "result", "expected_result", "points", "expected_result_points", "goals", "goals_allowed",
         "goal_difference", "expected_goals", "expected_goals_allowed", "expected_goal_difference", "possession",
@@ -237,16 +237,16 @@ def pipeline_results(spark, sf_dir):
         "deep_completions")
 
 
-@query("pipeline_headline", f"{PIPELINE_SQL} {sql.totals('silver')}")
-def pipeline_headline(spark, sf_dir):
-    return read_gold(spark, pipeline(spark, sf_dir), "headline_stats")
+@query("full_run_headline", f"{FULL_RUN_SQL} {sql.totals('silver')}")
+def full_run_headline(spark, sf_dir):
+    return read_gold(spark, full_run(spark, sf_dir), "headline_stats")
 
 
-@query("pipeline_form", f"{PIPELINE_SQL}, {sql.RECENT.replace('FROM res', 'FROM silver')} {sql.totals('recent')}")
-def pipeline_form(spark, sf_dir):
-    return read_gold(spark, pipeline(spark, sf_dir), "form_stats")
+@query("full_run_form", f"{FULL_RUN_SQL}, {sql.RECENT.replace('FROM res', 'FROM silver')} {sql.totals('recent')}")
+def full_run_form(spark, sf_dir):
+    return read_gold(spark, full_run(spark, sf_dir), "form_stats")
 
 
-@query("pipeline_rolling", f"{PIPELINE_SQL}, {sql.ROLLING.replace('FROM res', 'FROM silver')} SELECT * FROM rolling")
-def pipeline_rolling(spark, sf_dir):
-    return read_gold(spark, pipeline(spark, sf_dir), "rolling_stats")
+@query("full_run_rolling", f"{FULL_RUN_SQL}, {sql.ROLLING.replace('FROM res', 'FROM silver')} SELECT * FROM rolling")
+def full_run_rolling(spark, sf_dir):
+    return read_gold(spark, full_run(spark, sf_dir), "rolling_stats")
