@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm.shared import read
+from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
+from touchline.llm.toxicity import score, train
 from touchline.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +37,11 @@ def op7_token_files(spark, sf_dir):
 @query
 def op9_simhash(spark, sf_dir):
     return simhash_groups(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = train(docs, read(spark, sf_dir, "labels"), crc32_of_id() % 5 != 0)
+    return score(docs, model).select("doc_id", (crc32_of_id() % 5 == 0).alias("held_out"), "score",
+                                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
