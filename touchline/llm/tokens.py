@@ -24,9 +24,9 @@ HEADER = "<8sQQQBB6x"
 #: One select sample for so many set bits.
 SAMPLE = 64
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS = 300_000
-WORDS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+CACHE_WORDS, WORDS_AT_ONCE = 400_000, 5_000
+#: White space other than single spaces and line feeds between words.
+ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]|[ \n][ \n]|^[ \n]|[ \n]\Z")
 
 
 class EliasFano:
@@ -117,32 +117,47 @@ class Shard:
 
 
 class Encoder:
-    """Byte-level BPE with a bounded memory of words.
+    """Byte-level BPE with a bounded memory of words; texts become ids of `item` little-endian bytes.
 
-    The pre-tokenizer never joins what precedes a space or newline with what follows it, as long as a text has no
-    other white space, so such texts are looked up word by word; other texts are encoded whole.
+    The pre-tokenizer ends every piece before a space and puts a single line feed on its own. So texts whose only white
+    space are single spaces and line feeds are looked up word by word. Words not seen yet are encoded together, one to a
+    line. Texts with other white space are encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, item: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def fresh(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> list[int]:
-        if OTHER_SPACE.search(text):
-            return self.fresh([text])[0]
-        words = WORDS.findall(text)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            known.update(zip(new, map(tuple, self.fresh(new))))
-        return list(chain.from_iterable([known[w] for w in words]))
+        self.kind = f"<u{item}"
+        self.line = np.array(self.fresh("\n"), self.kind)
+        assert len(self.line) == 1, "a line feed must be one id"
+        #: Ids of words at the start of a line, and behind a space.
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+
+    def fresh(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, words: list[str], spaced: int) -> None:
+        known = self.known[spaced]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at:at + WORDS_AT_ONCE]
+            ids = np.array(self.fresh("\n".join([" " + w for w in some] if spaced else some)), self.kind)
+            cut = np.flatnonzero(ids == self.line[0])
+            data, size = ids.tobytes(), ids.itemsize
+            for w, start, end in zip(some, [0, *(size * (cut + 1)).tolist()], [*(size * cut).tolist(), len(data)]):
+                known[w] = data[start:end]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if sum(map(len, self.known)) > CACHE_WORDS:
+            self.known[0].clear()
+            self.known[1].clear()
+        split = [None if not t or ODD_SPACE.search(t) else [x.split(" ") for x in t.split("\n")] for t in texts]
+        lines = [x for t in split if t for x in t]
+        self.learn(list({x[0] for x in lines} - self.known[0].keys()), 0)
+        self.learn(list(set(chain.from_iterable(x[1:] for x in lines)) - self.known[1].keys()), 1)
+        first, later, feed = *self.known, self.line.tobytes()
+        return [feed.join([first[x[0]] + b"".join([later[w] for w in x[1:]]) for x in t]) if t else
+                np.array(self.fresh(text), self.kind).tobytes() if text else b"" for text, t in zip(texts, split)]
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
@@ -161,15 +176,14 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
     folder = folder or scratch_dir(docs.sparkSession, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, keys, known, lengths, parts = Encoder(vocabulary), [], [], [], []
+        encode, keys, known, lengths, parts = Encoder(vocabulary, id_bytes), [], [], [], []
+        end = np.array([end_id], f"<u{id_bytes}").tobytes()
         for part in slices(batches, "text"):
             keys.append(part.column("id").fill_null(0).to_numpy())
             known.append(part.column("id").is_valid().to_numpy(zero_copy_only=False))
-            for t in part.column("text").to_pylist():
-                ids = encode(t) if t else []
-                ids.append(end_id)
-                lengths.append(len(ids))
-                parts.append(np.array(ids, f"<u{id_bytes}").tobytes())
+            for ids in encode(part.column("text").to_pylist()):
+                lengths.append(len(ids) // id_bytes + 1)
+                parts += ids, end
         if not lengths:
             return
         shard = TaskContext.get().partitionId()

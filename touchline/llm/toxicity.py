@@ -163,18 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_i
         picked = some if picked is None else picked.unionByName(some)
     picked = F.broadcast(picked)  # at most 2 * ROWS_PER_CLASS rows of two numbers
 
-    def features(batches):
-        last = np.zeros(1 << BITS, np.int32)
-        for part in slices(batches, "text"):
-            ids = [x.tobytes() for x in grams(part.column("text"), last)]
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(ids, pa.binary())], ["id", "label", "ids"])
-
     found = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(picked, "id")
-    kind = docs.schema[key].dataType.simpleString()
-    found = found.mapInArrow(features, f"id {kind}, label int, ids binary")
     # Class weights: alike in the fit; as often as in all labelled rows for the probabilities.
     found = stored(found.withColumn("test", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(CALIBRATION)) == 0)
-                   .withColumn("weight", F.lit(1.0)).repartition(PARTS, "id"), "features")
+                   .withColumn("weight", F.lit(1.0)).repartition(PARTS, "id"), "sample")
     counts = {(r["test"], r["label"]): r["count"] for r in found.groupBy("test", "label").count().collect()}  # four rows
     n = sum(totals.values())
     if not all(counts.get((test, value)) for test in (False, True) for value in (0, 1)):
@@ -184,25 +176,30 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_i
         share = F.when(F.col("label") == 1, total[1] / counts[test, 1]).otherwise(total[0] / counts[test, 0])
         return found.filter(F.col("test") == test).withColumn("weight", share).coalesce(PARTS)
 
-    fit = weighted(False, {0: 0.5, 1: 0.5})
+    def features(place: np.ndarray | None = None):
+        """Label, weight and n-grams of sampled rows, the n-grams renumbered if `place` is given."""
+        def run(batches):
+            last = np.zeros(1 << BITS, np.int32)
+            for part in slices(batches, "text"):
+                ids = list(grams(part.column("text"), last))
+                if place is not None:
+                    ids = [x[x >= 0] for x in (place[x] for x in ids)]
+                yield pa.RecordBatch.from_arrays([part.column("label"), part.column("weight"),
+                                                  pa.array([x.tobytes() for x in ids], pa.binary())], ["label", "weight", "ids"])
+        return run, "label int, weight double, ids binary"
 
     def count(label, weight, ids, vector):
         vector[ids + (label << BITS)] += 1
         return np.array([label, 1 - label])
 
-    _, seen = sums_over(fit, count, 2 << BITS)
+    fit = weighted(False, {0: 0.5, 1: 0.5})
+    _, seen = sums_over(fit.mapInArrow(*features()), count, 2 << BITS)
     clean, toxic = seen[:1 << BITS], seen[1 << BITS:]
     used = np.flatnonzero(clean + toxic >= LEAST_ROWS)
     place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
 
-    def narrow(batches):
-        for batch in batches:
-            kept = [place[np.frombuffer(ids, np.int32)] for ids in batch.column("ids").to_pylist()]
-            ids = pa.array([x[x >= 0].tobytes() for x in kept], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("weight"), ids], ["label", "weight", "ids"])
-
-    fit = stored(fit.mapInArrow(narrow, "label int, weight double, ids binary"), "features").coalesce(PARTS)
+    fit = stored(fit.mapInArrow(*features(place)), "features").coalesce(PARTS)
     clean, toxic = clean[used] + 1, toxic[used] + 1
     ratio = np.log(toxic / toxic.sum()) - np.log(clean / clean.sum())
     v = minimise(objective(fit, ratio), len(ratio) + 1)
@@ -215,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_i
             yield pa.RecordBatch.from_arrays([pa.array(z), batch.column("label"), batch.column("weight")], ["z", "label", "weight"])
 
     size = {value: (counts[True, 0] + counts[True, 1]) * totals[value] / n for value in (0, 1)}
-    held = weighted(True, size).mapInArrow(margin, "z double, label int, weight double").toPandas()  # bounded as the sample
+    held = weighted(True, size).mapInArrow(*features()).mapInArrow(margin, "z double, label int, weight double").toPandas()  # bounded as the sample
     slope, bias = platt(held["z"].to_numpy(), held["label"].to_numpy(), held["weight"].to_numpy())
     return Model(weights, slope, bias, 0.0)
 
