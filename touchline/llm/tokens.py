@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,7 @@ HEADER = "<8sQQQBB6x"
 #: One select sample for so many set bits.
 SAMPLE = 64
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS, WORDS_AT_ONCE = 400_000, 5_000
-#: White space other than single spaces and line feeds between words.
-ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]|[ \n][ \n]|^[ \n]|[ \n]\Z")
+CACHE_WORDS, WORDS_AT_ONCE = 250_000, 5_000
 
 
 class EliasFano:
@@ -131,16 +130,22 @@ class Encoder:
         self.kind = f"<u{item}"
         self.line = np.array(self.fresh("\n"), self.kind)
         assert len(self.line) == 1, "a line feed must be one id"
-        #: Ids of words at the start of a line, and behind a space.
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        #: Ids of words at the start of a line and behind a space, kept for later tasks of the same worker: those used
+        #: lately, and those used before them.
+        worker = sys.modules.setdefault("touchline_words", ModuleType("touchline_words")).__dict__
+        self.known = worker.setdefault((path, item), [[{}, {}], [{}, {}]])
 
     def fresh(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def learn(self, words: list[str], spaced: int) -> None:
-        known = self.known[spaced]
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            some = words[at:at + WORDS_AT_ONCE]
+    def learn(self, words: set[str], spaced: int) -> None:
+        known, before = self.known[spaced]
+        new = words - known.keys()
+        old = new & before.keys()
+        known.update((w, before[w]) for w in old)
+        new = list(new - old)
+        for at in range(0, len(new), WORDS_AT_ONCE):
+            some = new[at:at + WORDS_AT_ONCE]
             ids = np.array(self.fresh("\n".join([" " + w for w in some] if spaced else some)), self.kind)
             cut = np.flatnonzero(ids == self.line[0])
             data, size = ids.tobytes(), ids.itemsize
@@ -148,18 +153,25 @@ class Encoder:
                 known[w] = data[start:end]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if sum(map(len, self.known)) > CACHE_WORDS:
-            self.known[0].clear()
-            self.known[1].clear()
-        split = [None if not t or ODD_SPACE.search(t) else [x.split(" ") for x in t.split("\n")] for t in texts]
+        for words in self.known:
+            if len(words[0]) > CACHE_WORDS:
+                words[:] = {}, words[0]
+        split = [[x.split(" ") for x in t.split("\n")] if t and plain_spaces(t) else None for t in texts]
         lines = [x for t in split if t for x in t]
-        self.learn(list({x[0] for x in lines} - self.known[0].keys()), 0)
-        self.learn(list(set(chain.from_iterable(x[1:] for x in lines)) - self.known[1].keys()), 1)
-        first, later, feed = *self.known, self.line.tobytes()
+        self.learn({x[0] for x in lines}, 0)
+        self.learn(set(chain.from_iterable([x[1:] for x in lines])), 1)
+        (first, _), (later, _) = self.known
+        feed = self.line.tobytes()
         return [feed.join([first[x[0]] + b"".join([later[w] for w in x[1:]]) for x in t]) if t else
                 np.array(self.fresh(text), self.kind).tobytes() if text else b"" for text, t in zip(texts, split)]
 
 
+def plain_spaces(text: str) -> bool:
+    """Whether the only white space is single spaces and line feeds between words."""
+    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text) \
+        and len(text.split()) == text.count(" ") + text.count("\n") + 1
+
+
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}" if uri.startswith("/") else uri.replace("file:/", "file:///", 1))
 
