@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.language import identify, learn
 from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
@@ -45,3 +46,10 @@ def op10_toxicity(spark, sf_dir):
     model = train(docs, read(spark, sf_dir, "labels"), crc32_of_id() % 5 != 0)
     return score(docs, model).select("doc_id", (crc32_of_id() % 5 == 0).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_language(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    languages = learn(docs, crc32_of_id() % 3 != 1)
+    return identify(docs, languages).select("doc_id", (crc32_of_id() % 3 == 1).alias("held_out"), "lang_pred", "score")

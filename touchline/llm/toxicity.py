@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from touchline.llm.shared import slices, stored
 
 #: Lengths of the n-grams in bytes, and bits of their hash.
-ORDERS, BITS = (4, 6, 8), 20
+ORDERS, BITS = (4, 6, 8), 19
 #: Labelled rows of each class that the classifier is fitted on, at most: those with the smallest hash of the id.
 ROWS_PER_CLASS = 4_000
 #: The rows are fitted in so many parts; every step returns one gradient from each.
-PARTS = 8
+PARTS = 4
 STEPS, MEMORY, PENALTY = 15, 6, 1e-4
 #: N-grams in fewer fitted rows weigh nothing.
 LEAST_ROWS = 3
@@ -65,11 +65,12 @@ class Model:
         return float(1 / (1 + np.exp(-min(max(z, -40.0), 40.0))))
 
 
-def sums_over(rows: DataFrame, step, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Run `step(label, weight, ids, vector)` over the parts and add up its numbers and its vector of `size`."""
+def sums_over(rows: DataFrame, step, size: int, prepare=iter) -> tuple[np.ndarray, np.ndarray]:
+    """Run `step(label, weight, ids, vector)` over the parts, as `prepare` makes them, and add up its two numbers and
+    its vector of `size`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vector, numbers = np.zeros(size), np.zeros(2)
-        for batch in batches:
+        for batch in prepare(batches):
             for label, weight, ids in zip(*(batch.column(c).to_pylist() for c in ("label", "weight", "ids"))):
                 numbers += step(label, weight, np.frombuffer(ids, np.int32), vector)
         yield pa.RecordBatch.from_pydict({"numbers": [numbers.tolist()], "vector": [vector.astype(np.float32).tobytes()]})
@@ -177,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_i
         return found.filter(F.col("test") == test).withColumn("weight", share).coalesce(PARTS)
 
     def features(place: np.ndarray | None = None):
-        """Label, weight and n-grams of sampled rows, the n-grams renumbered if `place` is given."""
+        """To label, weight and n-grams of sampled rows, the n-grams renumbered if `place` is given."""
         def run(batches):
             last = np.zeros(1 << BITS, np.int32)
             for part in slices(batches, "text"):
@@ -186,33 +187,35 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_i
                     ids = [x[x >= 0] for x in (place[x] for x in ids)]
                 yield pa.RecordBatch.from_arrays([part.column("label"), part.column("weight"),
                                                   pa.array([x.tobytes() for x in ids], pa.binary())], ["label", "weight", "ids"])
-        return run, "label int, weight double, ids binary"
+        return run
 
     def count(label, weight, ids, vector):
         vector[ids + (label << BITS)] += 1
         return np.array([label, 1 - label])
 
     fit = weighted(False, {0: 0.5, 1: 0.5})
-    _, seen = sums_over(fit.mapInArrow(*features()), count, 2 << BITS)
+    _, seen = sums_over(fit, count, 2 << BITS, features())
     clean, toxic = seen[:1 << BITS], seen[1 << BITS:]
     used = np.flatnonzero(clean + toxic >= LEAST_ROWS)
     place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
 
-    fit = stored(fit.mapInArrow(*features(place)), "features").coalesce(PARTS)
+    fit = stored(fit.mapInArrow(features(place), "label int, weight double, ids binary"), "features").coalesce(PARTS)
     clean, toxic = clean[used] + 1, toxic[used] + 1
     ratio = np.log(toxic / toxic.sum()) - np.log(clean / clean.sum())
     v = minimise(objective(fit, ratio), len(ratio) + 1)
     weights = np.zeros(1 << BITS, np.float32)
     weights[used] = v[:-1] * ratio
 
+    prepared = features()
+
     def margin(batches):
-        for batch in batches:
+        for batch in prepared(batches):
             z = [float(weights[np.frombuffer(ids, np.int32)].sum(dtype=np.float64)) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(z), batch.column("label"), batch.column("weight")], ["z", "label", "weight"])
 
     size = {value: (counts[True, 0] + counts[True, 1]) * totals[value] / n for value in (0, 1)}
-    held = weighted(True, size).mapInArrow(*features()).mapInArrow(margin, "z double, label int, weight double").toPandas()  # bounded as the sample
+    held = weighted(True, size).mapInArrow(margin, "z double, label int, weight double").toPandas()  # bounded as the sample
     slope, bias = platt(held["z"].to_numpy(), held["label"].to_numpy(), held["weight"].to_numpy())
     return Model(weights, slope, bias, 0.0)
 
