@@ -12,6 +12,7 @@ from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
 from touchline.llm.toxicity import score, train
+from touchline.llm.vectors import near_vectors
 from touchline.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +54,8 @@ def op5_language(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     languages = learn(docs, crc32_of_id() % 3 != 1)
     return identify(docs, languages).select("doc_id", (crc32_of_id() % 3 == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_near_vectors(spark, sf_dir):
+    return near_vectors(read(spark, sf_dir, "embeddings"))
