@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.language import identify, learn
+from touchline.llm.pages import extract
 from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
@@ -59,3 +60,8 @@ def op5_language(spark, sf_dir):
 @query
 def op3_near_vectors(spark, sf_dir):
     return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_main_text(spark, sf_dir):
+    return extract(read(spark, sf_dir, "pages"))
