@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.language import identify, learn
+from touchline.llm.lines import drop_lines
 from touchline.llm.pages import extract
 from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
@@ -65,3 +66,9 @@ def op3_near_vectors(spark, sf_dir):
 @query
 def op1_main_text(spark, sf_dir):
     return extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    out = drop_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lost", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "text")
