@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.language import identify, learn
+from touchline.llm.leaks import leaks
 from touchline.llm.lines import drop_lines
 from touchline.llm.pages import extract
 from touchline.llm.shared import crc32_of_id, read
@@ -72,3 +73,8 @@ def op1_main_text(spark, sf_dir):
 def op8_line_dedup(spark, sf_dir):
     out = drop_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lost", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "text")
+
+
+@query
+def op6_leaks(spark, sf_dir):
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
