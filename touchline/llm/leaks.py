@@ -19,6 +19,8 @@ TERM_BITS, RANK, OVERSAMPLE = 15, 128, 32
 BLOCK, WINDOWS = 8, (1, 2, 4)
 #: Cosine from which a window is compared with a passage word by word.
 COSINE = 0.6
+#: A window whose part in the latent space is shorter than this share of the passage's has too few of its words.
+LEAST_SHARE = 0.3
 #: Share of an item's words, in order, that a leak has: alone, or together with the whole answer.
 LEAK, PARAPHRASE, ANSWER = 0.8, 0.6, 0.9
 #: Passages searched for at once; more are searched in further passes over the documents.
@@ -229,12 +231,11 @@ def search(space: Latent, passages: list, items: dict[int, str]):
                     same = doc[k:] == doc[:-k] if k < len(doc) else np.zeros(0, bool)
                     window[:len(doc) - k][same] += block[k:][same]
                 high = np.linalg.norm(window, axis=1)
-                # Half of what the shortest passage has in the space: less cannot be most of one.
-                some = np.flatnonzero(high >= 0.4 * norm[groups[s]].min())
+                some = np.flatnonzero(high >= LEAST_SHARE * norm[groups[s]].min())
                 for at in range(0, len(some), 4096):
                     rows = some[at:at + 4096]
                     near = (window[rows] / high[rows, None]) @ vectors[groups[s]].T
-                    w, p = np.nonzero((near >= COSINE) & (high[rows, None] >= 0.4 * norm[groups[s]]))
+                    w, p = np.nonzero((near >= COSINE) & (high[rows, None] >= LEAST_SHARE * norm[groups[s]]))
                     for cosine, row, passage in zip(near[w, p].tolist(), rows[w].tolist(), groups[s][p].tolist()):
                         i = owner[passage]
                         first = int(starts[row])

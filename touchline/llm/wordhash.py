@@ -39,9 +39,9 @@ class Words:
 def words_of(column: pa.Array, letters_only: bool = False) -> Words:
     """Words of a text column: what white space separates, capitals A-Z as small letters; NULL is empty.
 
-    With `letters_only` ASCII punctuation separates words as well.
+    With `letters_only` ASCII punctuation separates words as well, and all capitals are folded.
     """
-    texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in column.to_pylist()]
+    texts = [(t.lower() if letters_only else t).encode("utf-8", "surrogatepass") if t else b"" for t in column.to_pylist()]
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     byte = np.arange(256, dtype=np.uint64)
     byte[65:91] += np.uint64(32)
