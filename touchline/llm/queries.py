@@ -11,6 +11,7 @@ from touchline.llm.language import identify, learn
 from touchline.llm.leaks import leaks
 from touchline.llm.lines import drop_lines
 from touchline.llm.pages import extract
+from touchline.llm.pieces import encode
 from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
@@ -78,3 +79,8 @@ def op8_line_dedup(spark, sf_dir):
 @query
 def op6_leaks(spark, sf_dir):
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_pieces(spark, sf_dir):
+    return encode(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
