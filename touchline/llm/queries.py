@@ -12,6 +12,7 @@ from touchline.llm.leaks import leaks
 from touchline.llm.lines import drop_lines
 from touchline.llm.pages import extract
 from touchline.llm.pieces import encode
+from touchline.llm.privacy import pseudonymise
 from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
@@ -19,6 +20,9 @@ from touchline.llm.toxicity import score, train
 from touchline.llm.vectors import near_vectors
 from touchline.session import scratch_dir
 
+#: A key that is no secret; users of the operator pass their own.
+DEMONSTRATION_KEY = b"demonstration key"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -84,3 +88,9 @@ def op6_leaks(spark, sf_dir):
 @query
 def op2_pieces(spark, sf_dir):
     return encode(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op4_pseudonyms(spark, sf_dir):
+    out = pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), DEMONSTRATION_KEY)
+    return out.select("doc_id", "n_values", "text")
