@@ -27,7 +27,7 @@ def runs(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def finish(sums: np.ndarray, length: np.ndarray | int, kind: int) -> np.ndarray:
     """A signed key from a polynomial sum, its number of words and the kind of key."""
-    return mix(sums + np.uint64(0x9E3779B97F4A7C15) * (np.asarray(length, np.uint64) * np.uint64(8) + np.uint64(kind))).view(np.int64)
+    return mix(sums + np.uint64(0x9E3779B97F4A7C15) * (np.atleast_1d(length).astype(np.uint64) * np.uint64(8) + np.uint64(kind))).view(np.int64)
 
 
 def halves(words: Words, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:

@@ -160,10 +160,11 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", rad
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """Keep one document of each group: the one whose key is the component's id.
+    """Keep one document of each group: the one whose key is the component's id, with all its columns.
 
-    Documents without words stay as they are, and so do rows with a NULL key: neither is a copy worth dropping.
+    Documents without words are one group like any other. Rows that repeat the key that stays all stay, and so do rows
+    with a NULL key, which nothing could tell apart.
     """
     groups = simhash_groups(docs, key, text, radius)
-    lost = groups.filter((F.col("fingerprint") != "0" * 16) & (F.col(key) != F.col("component_id"))).select(key)
+    lost = groups.filter(F.col(key) != F.col("component_id")).select(key)
     return docs.join(lost.distinct(), key, "left_anti").select(docs.columns)

@@ -63,5 +63,5 @@ def words_of(column: pa.Array, letters_only: bool = False) -> Words:
     first = np.concatenate([[0], feeds[stops[:-1] - 1]]) if len(stops) else np.zeros(0, np.int64)
     line = feeds[start] - first[text]
     total = np.zeros(len(word) + 1, np.uint64)
-    np.cumsum(word * powers(WORD_BASE, len(word) - 1)[:len(word)], out=total[1:])
+    np.cumsum(word * powers(WORD_BASE, len(word))[:len(word)], out=total[1:])
     return Words(word, text, line, total, powers(pow(WORD_BASE, -1, 2 ** 64), len(word)))
