@@ -216,4 +216,5 @@ def test_subsequence():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
-        assert leaks.subsequence(a, b) == best[-1][-1]
+        got = leaks.subsequence(leaks.places_of(a), len(a), b)
+        assert got == best[-1][-1] and leaks.subsequence(leaks.places_of(a), len(a), b, got) == got

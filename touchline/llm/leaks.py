@@ -126,17 +126,26 @@ def cut_items(items: DataFrame, key: str, text: str, length: int) -> DataFrame:
     return rows.select("item", F.explode(starts).alias("at"), "w").select("item", F.array_join(F.slice("w", F.col("at") + 1, length), " ").alias("text"))
 
 
-def subsequence(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, one machine operation on long integers per word of b."""
+def places_of(words: list[int]) -> dict[int, int]:
+    """The places of each word of a sequence, as the bits of a number."""
     places: dict[int, int] = {}
-    for i, w in enumerate(a):
+    for i, w in enumerate(words):
         places[w] = places.get(w, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return places
+
+
+def subsequence(places: dict[int, int], size: int, b: list[int], least: float = 0) -> int:
+    """Length of the longest common subsequence of b and `size` words at `places`, one step on long integers per word
+    that both have; 0 if those alone show that it is below `least`."""
+    hits = [places[w] for w in b if w in places]
+    if len(hits) < least:
+        return 0
+    full = (1 << size) - 1
     rest = full
-    for w in b:
-        hit = rest & places.get(w, 0)
+    for places_of_word in hits:
+        hit = rest & places_of_word
         rest = (rest + hit | rest - hit) & full
-    return len(a) - rest.bit_count()
+    return size - rest.bit_count()
 
 
 def answer_start(text: str) -> int:
@@ -197,14 +206,18 @@ def search(space: Latent, passages: list, items: dict[int, str]):
     for i, t in items.items():
         sequence[i] = words_of(pa.array([t]), letters_only=True).hash.tolist()
         answers[i] = words_of(pa.array([t[answer_start(t):]]), letters_only=True).hash.tolist() or sequence[i]
-    used = space.projection.any(axis=1)
-    projection = space.projection
+    # The row behind the last term is zero: it stands for the words that a block lacks.
+    nothing = len(space.projection)
+    projection = np.concatenate([space.projection, np.zeros((1, space.projection.shape[1]), np.float32)])
+    item_places = {i: places_of(x) for i, x in sequence.items()}
+    answer_places = {i: places_of(x) for i, x in answers.items()}
 
     def check(i: int, window: list[int]) -> tuple[float, float]:
-        share = subsequence(sequence[i], window) / max(1, len(sequence[i]))
+        size = len(sequence[i])
+        share = subsequence(item_places[i], size, window, PARAPHRASE * size) / max(1, size)
         if share < PARAPHRASE:
             return share, 0.0
-        return share, subsequence(answers[i], window) / max(1, len(answers[i]))
+        return share, subsequence(answer_places[i], len(answers[i]), window) / max(1, len(answers[i]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 1 << 20):
@@ -216,12 +229,12 @@ def search(space: Latent, passages: list, items: dict[int, str]):
             inside = np.arange(len(term)) - cuts[words.text]
             starts = np.flatnonzero(inside % BLOCK == 0)
             doc = words.text[starts]
-            known = np.flatnonzero(used[term])
-            of = np.searchsorted(starts, known, "right") - 1
+            number = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(term)))
+            grid = np.full((len(starts), BLOCK), nothing)
+            grid[number, inside % BLOCK] = term
             block = np.zeros((len(starts), projection.shape[1]), np.float32)
-            if len(known):
-                new = np.flatnonzero(np.diff(of, prepend=-1))
-                block[of[new]] = np.add.reduceat(projection[term[known]], new, axis=0)
+            for k in range(BLOCK):
+                block += projection[grid[:, k]]
             best: dict[tuple[int, int], tuple] = {}
             for s, size in enumerate(WINDOWS):
                 if not len(groups[s]):
