@@ -102,6 +102,12 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(sure, pa.bool_())).select(["h"])
 
 
+def few(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """A stored table, broadcast if it has few rows (counted), else built into hash tables of a shuffle join."""
+    rows = table.count() if rows is None else rows
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table.hint("shuffle_hash")
+
+
 def near_earlier(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Hashes `h` of the distinct lines that are one edit from an earlier one.
 
@@ -109,34 +115,33 @@ def near_earlier(classes: DataFrame, docs: DataFrame) -> DataFrame:
     variants; every key keeps its earliest line, and every line its earliest partner: no pairs are formed within a key.
     Substitutions meet at the same key and gap, deletions where a variant of one line is the other line.
     """
-    long = classes.filter(F.col("n") >= LEAST_WORDS - 1)
-    tagged = long.select("h", "n", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).distinct()
+    tagged = (classes.filter(F.col("n") >= LEAST_WORDS - 1)
+              .select("h", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")))
     shared = tagged.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low <> high").select("key")
-    chosen = stored(tagged.join(shared, "key", "left_semi").select("h").distinct()
-                    .join(classes.select("h", "doc", "line"), "h"), "chosen")
+    shared = stored(shared, "shared")
+    chosen = tagged.join(few(shared), "key", "left_semi").select("h").distinct()
+    chosen = stored(chosen.join(classes.select("h", "doc", "line"), "h"), "chosen")
+    n_chosen = chosen.count()
+    chosen = few(chosen, n_chosen)
     by_doc = chosen.groupBy("doc").agg(F.collect_list("line").alias("lines"))
-    if chosen.count() <= BROADCAST_ROWS:
-        by_doc = F.broadcast(by_doc)
-    else:
-        by_doc = by_doc.hint("shuffle_hash")
-    found = (docs.join(by_doc, F.coalesce(docs["id"], F.lit(LAST)) == by_doc["doc"]).select("text", "lines")
+    found = (docs.join(few(stored(by_doc, "places"), n_chosen), F.coalesce(docs["id"], F.lit(LAST)) == F.col("doc")).select("text", "lines")
              .mapInArrow(variants, "h long, n int, words binary, keys array<long>"))
-    found = stored(found.dropDuplicates(["h"]).join(chosen, "h"), "variants")
-    place = F.struct("doc", "line", "h")
-    gaps = found.filter(F.col("n") >= LEAST_WORDS).select(place.alias("own"), F.posexplode("keys").alias("gap", "key"))
-    whole = found.select(place.alias("own"), F.lit(-1).alias("gap"), F.col("h").alias("key"))
-    rows = gaps.unionByName(whole)
-    least = stored(rows.groupBy("key", "gap").agg(F.min("own").alias("first")), "keys")
-    whole_first = least.filter("gap = -1").select("key", F.col("first").alias("as_whole"))
-    gap_first = least.filter("gap >= 0").groupBy("key").agg(F.min("first").alias("as_gap"))
-    # Of a key: the earliest line with the same gap, for a variant the line that it equals, for a line its longer ones.
-    best = (gaps.join(least.filter("gap >= 0"), ["key", "gap"]).filter("first < own").select("own", F.col("first").alias("other"))
-            .unionByName(gaps.join(whole_first, "key").filter("as_whole < own").select("own", F.col("as_whole").alias("other")))
-            .unionByName(whole.join(gap_first, "key").filter("as_gap < own").select("own", F.col("as_gap").alias("other"))))
-    best = best.groupBy(F.col("own.h").alias("h")).agg(F.min("other").alias("other")).select("h", F.col("other.h").alias("other"))
+    found = stored(found.join(chosen, "h").select("h", "n", "words", "keys", F.struct("doc", "line", "h").alias("own")), "variants")
+    gaps = found.filter(F.col("n") >= LEAST_WORDS).select("own", F.posexplode("keys").alias("gap", "key"))
+    # Lines of one length that differ in the word at the gap: each is near the earliest of them.
+    first = gaps.groupBy("key", "gap").agg(F.min("own").alias("first"), F.max("own").alias("last")).filter("first < last")
+    first = few(stored(first.select("key", "gap", "first"), "first"))
+    alike = gaps.join(first, ["key", "gap"]).filter("first < own").select("own", F.col("first").alias("other"))
+    # Lines that are another one without a word: the later of both is near the other.
+    whole = few(found.select(F.col("h").alias("key"), F.col("own").alias("whole")), n_chosen)
+    longer = stored(gaps.join(whole, "key").select("own", "whole"), "longer")
+    best = (alike.unionByName(longer.select(F.greatest("own", "whole").alias("own"), F.least("own", "whole").alias("other")))
+            .groupBy(F.col("own.h").alias("h")).agg(F.min("other").alias("other")).select("h", F.col("other.h").alias("other")))
+    best = few(stored(best, "best"))
     texts = found.select("h", "words")
-    pairs = best.join(texts, "h").join(texts.select(F.col("h").alias("other"), F.col("words").alias("other_words")), "other")
-    return pairs.select("h", "words", "other_words").mapInArrow(verified, "h long")
+    pairs = texts.join(best, "h")
+    pairs = texts.select(F.col("h").alias("other"), F.col("words").alias("other_words")).join(pairs.hint("shuffle_hash"), "other")
+    return pairs.select("h", "words", "other_words").mapInArrow(verified, "h long").distinct()
 
 
 def lines_to_drop(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
