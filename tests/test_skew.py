@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators.ranking import group_quantiles, medians, position, quartile_bands
-from touchline.operators.skew import attach, number_rows, split_hot
+from touchline.operators.ranking import group_quantiles, medians, position, quartile_bands, running_counts, value_counts
+from touchline.operators.skew import attach, join_by_key, number_rows, split_hot, table_bytes
 from touchline.operators.trend import rolling_mean
 
 
@@ -116,3 +116,38 @@ def test_missing_values_come_last_both_ways(spark, ascending):
     df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 3.0)], "Team string, x double")
     got = {r["Team"]: r["Position"] for r in position(df, "x", ascending).collect()}
     assert got == ({"a": 1, "c": 2, "b": 3} if ascending else {"c": 1, "a": 2, "b": 3})
+
+
+def test_ties_do_not_depend_on_the_limit(spark, rows):
+    """Rows with equal sort values, and rows that are equal throughout."""
+    df = spark.createDataFrame([("g", 1, i // 3) for i in range(200)], "g string, v int, i int").repartition(7)
+    plain, spread = (number_rows(df, ["g"], [F.col("v").asc()], "n", limit) for limit in (1000, 10))
+    assert rows(plain) == rows(spread)
+    plain, spread = (rolling_mean(df, ["g"], [F.col("v").asc()], {"m": "i"}, 4, "n", limit) for limit in (1000, 10))
+    assert rows(plain) == rows(spread)
+
+
+def test_a_frequent_value_fills_no_slice(spark):
+    df = spark.range(20_000).select(F.lit("g").alias("g"), F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(5).alias("v"))
+    ranked = running_counts(value_counts(df, ["v"], ["g"]), ["g", "_metric"], 100)
+    sizes = [r["count"] for r in ranked.groupBy("_slice").count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes) + 1
+    quantiles = [group_quantiles(df, "v", [0.1, 0.5, 0.93, 0.9999], ["g"], max_group_rows=n).first()["edges"] for n in (100, 10**6)]
+    assert quantiles[0] == pytest.approx(quantiles[1])
+
+
+def test_a_table_of_long_texts_is_measured_and_shuffled(spark):
+    """200 rows of 1 MB: few rows, but too much to broadcast."""
+    side = spark.range(200).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1 << 20).alias("t"))
+    assert table_bytes(side) > 200 << 20
+    joined = attach(spark.range(400).select((F.col("id") % 200).alias("k")), side, ["k"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and joined.filter("t is not null").count() == 400
+
+
+def test_many_hot_keys_are_dealt_out(spark, rows):
+    df = spark.range(600).select((F.col("id") % 6).alias("k"), "id")
+    side = spark.createDataFrame([(k, f"name {k}") for k in range(5)], "k long, t string")
+    spread = join_by_key(df, side, ["k"], 20, max_bytes=0)
+    assert rows(spread) == rows(join_by_key(df, side, ["k"], 1000)) == rows(df.join(side, "k", "left").select("k", "id", "t"))
+    assert "_part" in spread._jdf.queryExecution().optimizedPlan().toString()

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.operators.columns import quoted
-from touchline.operators.skew import MAX_GROUP_ROWS, attach, number_hot_rows, number_rows, split_hot
+from touchline.operators.skew import MAX_GROUP_ROWS, attach, number_rows, split_hot
+from touchline.session import freeze
 
 # Band names from low to high, and the metrics where low is good.
 BANDS = ("Q1 (Low)", "Q2", "Q3", "Q4 (High)")
@@ -40,51 +41,76 @@ def _value(metric: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def group_quantiles(df: DataFrame, metric: str, probs: Sequence[float], within: Sequence[str] = (),
-                    out: str = "edges", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Exact quantiles with linear interpolation, as an array per group.
+def value_counts(df: DataFrame, metrics: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """Stored counts (group, `_metric`, `_v`, `_n`) of all values, missing ones included.
 
-    The built-in aggregate holds a group's distinct values in one buffer, so it
-    serves groups up to `max_group_rows`. In a hot group the values are numbered
-    by range-partitioned slices and only the rows at the wanted ranks are kept.
+    One pass with partial sums serves all metrics, and a value that fills a
+    third of a group is one row here.
     """
-    values = (df.select(*[quoted(k) for k in within], _value(metric).alias("_v"))
-                .filter(F.col("_v").isNotNull()))
-    normal, hot, sizes = split_hot(values, within, max_group_rows)
-    parts = []
-    if normal is not None:
-        parts.append(normal.groupBy(*within).agg(
-            F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias(out)))
+    values = F.array(*[F.struct(F.lit(i).alias("_metric"), _value(m).alias("_v")) for i, m in enumerate(metrics)])
+    rows = df.select(*[quoted(k) for k in within], F.inline(values))
+    return freeze(rows.groupBy(*within, "_metric", "_v").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def running_counts(counts: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+    """`_until`, the number of a group's values up to each distinct one, for groups of any number of them.
+
+    Distinct values are range partitioned, so that slices are even; a value's
+    sum is that inside its slice plus those of the group's earlier slices.
+    """
+    sort = [*[quoted(k).asc_nulls_first() for k in keys], F.col("_v").asc()]
+    slices = max(2, -(-counts.count() // rows_per_task))
+    placed = freeze(counts.repartitionByRange(slices, *sort).sortWithinPartitions(*sort)
+                    .withColumn("_slice", F.spark_partition_id()))
+    totals = placed.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*[quoted(k) for k in keys], "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.sum("_n").over(Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    return attach(placed.withColumn("_inside", inside), before, [*keys, "_slice"]).withColumn("_until", F.col("_before") + F.col("_inside"))
+
+
+def _quantiles(df: DataFrame, metrics: Sequence[str], probs: Sequence[float], within: Sequence[str],
+               max_group_rows: int) -> DataFrame:
+    """(group, `_metric`, `_edges`) from value counts; a group without values has NULL edges."""
+    counts = value_counts(df, metrics, within)
+    keys = [*within, "_metric"]
+    normal, hot, _ = split_hot(counts, keys, max_group_rows)
+    edges = F.percentile("_v", F.array(*[F.lit(p) for p in probs]), F.col("_n"))
+    parts = [normal.groupBy(*keys).agg(edges.alias("_edges"))]
     if hot is not None:
-        rows = sizes.agg(F.sum("_n")).first()[0]
-        ranked = number_hot_rows(hot, within, [F.col("_v").asc()], rows, "_no", max_group_rows)
-        ranked = attach(ranked, sizes, list(within))
+        ranked = running_counts(hot.filter(F.col("_v").isNotNull()), keys, max_group_rows)
+        ranked = attach(ranked, ranked.groupBy(*keys).agg(F.sum("_n").alias("_all")), keys)
+
         def at(p: float) -> Column:
-            place = F.lit(p) * (F.col("_n") - 1)
+            place = F.lit(p) * (F.col("_all") - 1)
+
             def value(rank: Column) -> Column:
-                return F.max(F.when(F.col("_no") - 1 == rank, F.col("_v")))
+                return F.max(F.when((rank < F.col("_until")) & (rank >= F.col("_until") - F.col("_n")), F.col("_v")))
             low, high = value(F.floor(place)), value(F.ceil(place))
             part = F.max(place - F.floor(place))
             return F.when(low == high, low).otherwise((1 - part) * low + part * high)
-        parts.append(ranked.groupBy(*within).agg(F.array(*[at(p) for p in probs]).alias(out)))
+        parts.append(ranked.groupBy(*keys).agg(F.array(*[at(p) for p in probs]).alias("_edges")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def group_quantiles(df: DataFrame, metric: str, probs: Sequence[float], within: Sequence[str] = (),
+                    out: str = "edges", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Exact quantiles with linear interpolation, as an array per group.
+
+    All rows are counted per group and value first. The built-in aggregate then
+    holds a group's distinct values in one buffer, which serves groups of up to
+    `max_group_rows` of them; of larger ones only the values at the wanted ranks
+    are kept, from running counts in slices.
+    """
+    return _quantiles(df, [metric], probs, within, max_group_rows).select(*[quoted(k) for k in within], F.col("_edges").alias(out))
+
+
 def medians(df: DataFrame, metrics: Sequence[str], within: Sequence[str] = (),
             max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Exact interpolated median of each metric per view, as `median_<metric>`."""
-    normal, hot, _ = split_hot(df, within, max_group_rows)
-    parts = []
-    if normal is not None:
-        parts.append(normal.groupBy(*within).agg(
-            *[F.median(_value(m)).alias(f"median_{m}") for m in metrics]))
-    if hot is not None:
-        table = hot.groupBy(*within).agg(F.count(F.lit(1)).alias("_n"))
-        for m in metrics:
-            edge = group_quantiles(hot, m, [0.5], within, "_q", max_group_rows)
-            table = attach(table, edge, list(within)).withColumn(f"median_{m}", F.col("_q")[0]).drop("_q")
-        parts.append(table.drop("_n"))
-    return reduce(DataFrame.unionByName, parts)
+    """Exact interpolated median of each metric per view, as `median_<metric>`, all from one pass."""
+    edges = _quantiles(df, metrics, [0.5], within, max_group_rows)
+    return edges.groupBy(*within).agg(*[
+        F.max(F.when(F.col("_metric") == i, F.col("_edges")[0])).alias(f"median_{m}") for i, m in enumerate(metrics)])
 
 
 def quartile_bands(df: DataFrame, metric: str, within: Sequence[str] = (),

@@ -12,25 +12,44 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from touchline.operators.columns import quoted
 from touchline.session import freeze
 
 MAX_GROUP_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# More slices than this cost more to plan than they save; a larger slice spills.
-MAX_SLICES = 10_000
 # monotonically_increasing_id keeps the partition number above this bit.
 PARTITION_SHIFT = 33
 
 
-def row_bytes(df: DataFrame) -> int:
-    """A generous estimate of one row's width, from the column types."""
-    width = 16
+def content(df: DataFrame) -> Column:
+    """A hash of a whole row: settles ties by what the rows hold, whatever task or plan they come from."""
+    return F.xxhash64(*[quoted(c) for c in df.columns])
+
+
+def table_bytes(df: DataFrame) -> int:
+    """The width of all rows as they are: real lengths of text, binary and nested values, 16 bytes for any other."""
+    fixed, sizes = 16, []
     for field in df.schema.fields:
-        width += {"string": 64, "struct": 256, "array": 256, "map": 256}.get(
-            field.dataType.typeName(), 16)
-    return width
+        value = quoted(field.name)
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            sizes.append(F.octet_length(value))
+        elif isinstance(field.dataType, (StructType, ArrayType, MapType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(value))))
+        else:
+            fixed += 16
+    width = reduce(lambda x, y: x + y, [F.coalesce(n, F.lit(0)).cast("bigint") for n in sizes], F.lit(fixed).cast("bigint"))
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """A stored table, broadcast if its measured size allows it, and whether it is.
+
+    A larger one is marked for a sort-merge join: what Spark estimates of stored rows does not see how long they are.
+    """
+    small = table_bytes(df) <= max_bytes
+    return (F.broadcast(df) if small else df.hint("merge")), small
 
 
 def _keyed(small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,22 +65,33 @@ def _same(keys: Sequence[str], null_safe: bool = True) -> Column:
 
 
 def join_by_key(df: DataFrame, side: DataFrame, on: Sequence[str],
-                max_group_rows: int = MAX_GROUP_ROWS, null_safe: bool = True) -> DataFrame:
+                max_group_rows: int = MAX_GROUP_ROWS, null_safe: bool = True,
+                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Left join of a one-row-per-key `side` of any size.
 
     Keys that hold more than `max_group_rows` rows of `df` are taken out first:
-    their few rows of `side` (one per hot key) are broadcast, so a hot key never
-    fills one task. (Adaptive skew splitting alone would not do: it leaves a join
-    alone whose other input comes straight from an aggregate.) NULL keys meet
-    NULL keys unless `null_safe` is off, which spares an aggregated `side` its
-    second shuffle.
+    their few rows of `side` (one per hot key) are stored and measured. Below
+    `max_bytes` they are broadcast; above it, hot rows are dealt out by their
+    content and the rows of `side` repeated for every part. (Adaptive skew
+    splitting alone would not do: it leaves a join alone whose other input comes
+    straight from an aggregate.) NULL keys meet NULL keys unless `null_safe` is
+    off, which spares an aggregated `side` its second shuffle.
     """
     result = [*df.columns, *[c for c in side.columns if c not in on]]
-    normal, hot, keys = split_hot(df, on, max_group_rows)
+    normal, hot, keys = split_hot(df, on, max_group_rows, max_bytes)
     parts = [normal.join(_keyed(side, on), _same(on, null_safe), "left")]
     if hot is not None:
-        few = side.join(F.broadcast(_keyed(keys.drop("_n"), on)), _same(on), "left_semi")
-        parts.append(hot.join(F.broadcast(_keyed(few, on)), _same(on, null_safe), "left"))
+        wanted, _ = broadcast_if_small(_keyed(keys.drop("_n"), on), max_bytes)
+        few = freeze(side.join(wanted, _same(on), "left_semi"))
+        listed, small = broadcast_if_small(_keyed(few, on), max_bytes)
+        if small:
+            parts.append(hot.join(listed, _same(on, null_safe), "left"))
+        else:
+            most = keys.agg(F.max("_n")).first()[0]
+            shares = -(-most // max(1, max_group_rows))
+            dealt = hot.withColumn("_share", F.pmod(content(hot), F.lit(shares)))
+            copies = listed.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)).cast("array<bigint>")))
+            parts.append(dealt.join(copies, _same(on, null_safe) & (F.col("_share") == F.col("_part")), "left"))
     return reduce(DataFrame.unionByName, [p.select(*[quoted(c) for c in result]) for p in parts])
 
 
@@ -69,7 +99,7 @@ def attach(df: DataFrame, small: DataFrame, on: Sequence[str], max_bytes: int =
            max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Left join of an aggregate of `df`, one row per key, back onto its rows.
 
-    `small` is computed once into the shared folder and counted. Below
+    `small` is computed once into the shared folder and measured. Below
     `max_bytes` it is broadcast, so `df` is not shuffled at all; above it,
     `join_by_key` takes over.
     """
@@ -78,24 +108,28 @@ def attach(df: DataFrame, small: DataFrame, on: Sequence[str], max_bytes: int =
         # No key: `small` is a global aggregate, exactly one row by definition.
         df, small, on = df.withColumn("_all", F.lit(1)), small.withColumn("_all", F.lit(1)), ["_all"]
     small = freeze(_keyed(small, on))
-    if small.count() * row_bytes(small) <= max_bytes:
-        joined = df.join(F.broadcast(small), _same(on), "left")
+    listed, fits = broadcast_if_small(small, max_bytes)
+    if fits:
+        joined = df.join(listed, _same(on), "left")
     else:
-        named = small.withColumnsRenamed({f"_on{i}": k for i, k in enumerate(on)})
-        joined = join_by_key(df, named, on, max_group_rows)
+        named = listed.withColumnsRenamed({f"_on{i}": k for i, k in enumerate(on)})
+        joined = join_by_key(df, named, on, max_group_rows, max_bytes=max_bytes)
     return joined.select(*[quoted(c) for c in result])
 
 
-def split_by(df: DataFrame, keys_table: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key is not in `keys_table`, rows whose key is)."""
-    side = _keyed(keys_table.select(*[quoted(k) for k in on]), on)
-    if keys_table.count() * row_bytes(side) <= MAX_BROADCAST_BYTES:
-        side = F.broadcast(side)
+def split_by(df: DataFrame, keys_table: DataFrame, on: Sequence[str],
+             max_bytes: int = MAX_BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is not in the stored `keys_table`, rows whose key is).
+
+    Too many keys to broadcast are shuffled; rows of one key may then meet in
+    one task while they are told apart, which needs no memory per key.
+    """
+    side, _ = broadcast_if_small(_keyed(keys_table.select(*[quoted(k) for k in on]), on), max_bytes)
     return df.join(side, _same(on), "left_anti"), df.join(side, _same(on), "left_semi")
 
 
-def split_hot(df: DataFrame, keys: Sequence[str],
-              max_group_rows: int) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
+def split_hot(df: DataFrame, keys: Sequence[str], max_group_rows: int, max_bytes: int = MAX_BROADCAST_BYTES,
+              ) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
     """(rows of normal groups, rows of hot groups, hot keys with `_n`).
 
     The check is one narrow aggregate over the key columns. There are at most
@@ -108,7 +142,7 @@ def split_hot(df: DataFrame, keys: Sequence[str],
         return df, None, None
     if not keys:
         return None, df, hot
-    normal, large = split_by(df, hot, keys)
+    normal, large = split_by(df, hot, keys, max_bytes)
     return normal, large, hot
 
 
@@ -122,9 +156,8 @@ def number_hot_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     first, since slice borders come from sampling and must not change between
     the two uses.
     """
-    tie = F.xxhash64(*[quoted(c) for c in df.columns])
-    sort = [*[quoted(k).asc_nulls_first() for k in keys], *order, tie.asc()]
-    slices = min(MAX_SLICES, max(2, -(-rows // rows_per_task)))
+    sort = [*[quoted(k).asc_nulls_first() for k in keys], *order, content(df).asc()]
+    slices = max(2, -(-rows // rows_per_task))
     placed = freeze(df.repartitionByRange(slices, *sort).sortWithinPartitions(*sort)
                       .withColumn("_place", F.monotonically_increasing_id()))
     placed = placed.withColumn("_slice", F.shiftright("_place", PARTITION_SHIFT))
@@ -142,11 +175,14 @@ def number_hot_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
                 max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """1..n per group in the given order, for groups of any size (bigint)."""
+    """1..n per group in the given order, for groups of any size (bigint).
+
+    Ties are settled by the content of the rows, alike in both forms.
+    """
     normal, hot, sizes = split_hot(df, keys, max_group_rows)
     parts = []
     if normal is not None:
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, content(df).asc()))
         parts.append(normal.withColumn(out, place.cast("bigint")))
     if hot is not None:
         rows = sizes.agg(F.sum("_n")).first()[0]

@@ -8,11 +8,8 @@ measures are whole numbers or multiples of 1/32, so sums are exact.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from touchline.functions.casts import iso_text
 from touchline.functions.text import extract_id, joined_id, tiered_code
@@ -23,15 +20,8 @@ from touchline.sinks.tables import write_snapshot
 NATION_CODES = {"NATION_1": "ONE", "NATION_2": "TWO", "NATION_7": "SEV", "NATION_11": "ELV"}
 
 
-@cache
-def _schema(application: str, path: str) -> StructType:
-    """A table's schema, read from its footer once per application."""
-    return SparkSession.active().read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark.sparkContext.applicationId, path)).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def season_of(day: Column) -> Column:
@@ -63,8 +53,12 @@ def goals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_matches(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
-    """Two rows per played order, teams are nations, leagues are regions."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
+    """Two rows per order, teams are nations, leagues are regions.
+
+    Orders with status P are matches to come: no report, no goals and no
+    expected goals yet.
+    """
+    orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     regions = table(spark, sf_dir, "region")
@@ -87,14 +81,17 @@ def nation_matches(spark: SparkSession, sf_dir: str, gaps: bool = False) -> Data
                    .join(customers, F.col("o_custkey") == F.col("c_custkey"))
                    .join(where, F.col("c_nationkey") == F.col("n_nationkey")))
     day = F.col("o_orderdate").cast("date")
+
+    def played(value: Column) -> Column:
+        return F.when(F.col("o_orderstatus") != "P", value)
     games = games.select(
         order.alias("game_id"), "league", season_of(day).alias("season"), day.alias("date"),
-        report_url(order, gaps).alias("match_report"),
+        played(report_url(order, gaps)).alias("match_report"),
         name(home).alias("home_team"), name(away).alias("away_team"),
         code(home).alias("home_code"), code(away).alias("away_code"),
-        F.coalesce("home_goals", F.lit(0)).alias("home_goals"),
-        F.coalesce("away_goals", F.lit(0)).alias("away_goals"),
-        "home_xg", "away_xg",
+        played(F.coalesce("home_goals", F.lit(0))).alias("home_goals"),
+        played(F.coalesce("away_goals", F.lit(0))).alias("away_goals"),
+        played(F.col("home_xg")).alias("home_xg"), played(F.col("away_xg")).alias("away_xg"),
         possession.alias("home_possession"), (F.lit(100) - possession).alias("away_possession"))
 
     def side(own: str, other: str) -> dict[str, str]:
@@ -107,8 +104,11 @@ def nation_matches(spark: SparkSession, sf_dir: str, gaps: bool = False) -> Data
 
 
 def nation_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation model with ids, codes and outcomes: the input of the gold tables."""
-    rows = nation_matches(spark, sf_dir)
+    """The nation model with ids, codes and outcomes: the input of the gold tables.
+
+    Matches without a report have not been played and are left out, as in the silver tables.
+    """
+    rows = nation_matches(spark, sf_dir).filter(F.col("match_report").isNotNull())
     result_id = extract_id("match_report")
     rows = rows.withColumns({
         "result_id": result_id,
@@ -146,12 +146,13 @@ def customer_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIRST_RUN, SECOND_RUN = "2001-09-01", "2001-09-08"
 
 
-def land_nation_model(spark: SparkSession, sf_dir: str, landing: str) -> DataFrame:
-    """Land both providers' snapshots of the nation model; returns the name mapping.
+def land_nation_model(spark: SparkSession, sf_dir: str, landing: str, advanced_too: bool = True) -> DataFrame:
+    """Land both providers' snapshots of the nation model, or the first one's; returns the name mapping.
 
     In the first run nobody knows the goals yet. In the second they are text such
     as '3.0', which does not fit the whole-number column of the first. The second
-    provider has no rows for low-priority orders.
+    provider spells the clubs of low-priority orders in a way that the mapping does
+    not know yet.
     """
     games = nation_matches(spark, sf_dir)
     rows = games.select(
@@ -166,15 +167,24 @@ def land_nation_model(spark: SparkSession, sf_dir: str, landing: str) -> DataFra
     write_snapshot(rows.withColumns({"GF": unknown, "GA": unknown}), folder, FIRST_RUN)
     write_snapshot(rows.withColumns({c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("GF", "GA")}),
                    folder, SECOND_RUN)
+    if advanced_too:
+        land_advanced(spark, sf_dir, f"{landing}/match_team_stats_understat")
+    key = F.col("n_nationkey").cast("string")
+    return table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), key).alias("understat_club_name"),
+        F.concat(F.lit("NATION_"), key).alias("master_club_name"))
 
+
+def land_advanced(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Both weekly snapshots of the second provider."""
     order = F.col("o_orderkey")
     home = F.col("c_nationkey").cast("int")
     away = ((F.col("c_nationkey") + 5 * (1 + order % 4)) % 25).cast("int")
     day = F.col("o_orderdate").cast("date")
     def club(key: Column) -> Column:
-        return F.concat(F.lit("N"), key.cast("string"))
+        return F.concat(F.lit("N"), key.cast("string"), F.when(F.col("o_orderpriority") == "5-LOW", " FC").otherwise(""))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    advanced = (table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'")
+    advanced = (table(spark, sf_dir, "orders")
                 .join(customers, F.col("o_custkey") == F.col("c_custkey")))
     advanced = advanced.select(
         F.lit("all").alias("league"), season_of(day).alias("season"), iso_text(day).alias("date"),
@@ -187,12 +197,6 @@ def land_nation_model(spark: SparkSession, sf_dir: str, landing: str) -> DataFra
         F.when(order % 7 != 0, (order % 160) / 8.0).alias("home_ppda"),
         ((order % 96) / 8.0).alias("away_ppda"),
         (order % 13).alias("home_deep_completions"), (order % 17).alias("away_deep_completions"))
-    folder = f"{landing}/match_team_stats_understat"
     missing = F.lit(None).cast("double")
     write_snapshot(advanced.withColumns({"home_ppda": missing, "away_ppda": missing}), folder, FIRST_RUN)
     write_snapshot(advanced, folder, SECOND_RUN)
-
-    key = F.col("n_nationkey").cast("string")
-    return table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("N"), key).alias("understat_club_name"),
-        F.concat(F.lit("NATION_"), key).alias("master_club_name"))

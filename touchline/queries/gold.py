@@ -1,5 +1,8 @@
 """Totals, form and trend tables over the nation model."""
 
+from pyspark.sql import functions as F
+
+from touchline.operators.enrich import outcome_columns as with_outcomes
 from touchline.plans import bridge
 from touchline.plans.gold import form_stats, headline_stats, rolling_stats
 from touchline.queries import sql
@@ -32,3 +35,15 @@ def outcome_columns(spark, sf_dir):
         "game_id", "venue", "team", "team_code", "goals", "goals_allowed", "goal_difference",
         "expected_goals", "expected_goals_allowed", "expected_goal_difference", "result",
         "expected_result", "points", "expected_result_points", "possession")
+
+
+@query("unplayed_outcomes", f"""
+WITH {sql.NATION_SIDES}
+SELECT game_id, venue, team, goals, expected_goals, 'L' AS result, 'D' AS expected_result, 0 AS points,
+       1 AS expected_result_points, goals - goals_allowed AS goal_difference
+FROM side WHERE match_report IS NULL""")
+def unplayed_outcomes(spark, sf_dir):
+    """Outcomes of matches without goals: lost without points, and drawn where nothing was expected."""
+    rows = with_outcomes(bridge.nation_matches(spark, sf_dir).filter(F.col("match_report").isNull()))
+    return rows.select("game_id", "venue", "team", "goals", "expected_goals", "result", "expected_result", "points",
+                       "expected_result_points", "goal_difference")

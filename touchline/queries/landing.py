@@ -1,7 +1,6 @@
 """Files in and out: snapshots, drift, streams and a full run."""
 
 import datetime as dt
-from functools import cache
 
 from pyspark.sql import functions as F
 
@@ -177,37 +176,30 @@ def schema_drift_scan(spark, sf_dir):
                         F.get_json_object("_rescued_data", "$.GF").alias("rescued_gf"), "extra")
 
 
-@cache
-def finished_layout(application, sf_dir):
-    """Land the nation model and run all stages, once per session and directory."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+def full_run(spark, sf_dir, advanced_too=True):
+    """Land the nation model and run all stages."""
     work = scratch_dir(spark, "full-run")
     layout = Layout(f"{work}/landing", f"{work}/warehouse")
-    mapping = bridge.land_nation_model(spark, sf_dir, layout.landing)
+    mapping = bridge.land_nation_model(spark, sf_dir, layout.landing, advanced_too)
     run_pipeline(spark, layout, mapping, as_of=dt.date(2001, 7, 1))
     return layout
 
 
-def full_run(spark, sf_dir):
-    return finished_layout(spark.sparkContext.applicationId, sf_dir)
-
-
 FULL_RUN_SQL = f"""
 WITH {sql.NATION_RESULTS},
 adv AS (
   SELECT game_id, {sql.SEASON.replace('o_orderdate', 'date')} AS season, date, h, a,
          CASE WHEN game_id % 3 <> 0 THEN 1 END AS coded,
          CASE WHEN game_id % 7 <> 0 THEN CAST((game_id % 160) / 8.0 AS REAL) END AS hp,
-         CAST((game_id % 96) / 8.0 AS REAL) AS ap
-  FROM game JOIN orders ON o_orderkey = game_id WHERE o_orderpriority <> '5-LOW'),
+         CAST((game_id % 96) / 8.0 AS REAL) AS ap, o_orderpriority <> '5-LOW' AS mapped
+  FROM game JOIN orders ON o_orderkey = game_id),
 adv_side AS (
   SELECT game_id || '-' || h AS game_team_id, game_id, season, date, 'NATION_' || h AS team,
          'NATION_' || a AS opponent, 'N' || h AS club, CASE WHEN coded = 1 THEN 'N' || h END AS code,
-         hp AS raw, game_id % 13 AS deep, 'Home' AS venue FROM adv
+         hp AS raw, game_id % 13 AS deep, 'Home' AS venue, mapped FROM adv
   UNION ALL
   SELECT game_id || '-' || a, game_id, season, date, 'NATION_' || a, 'NATION_' || h, 'N' || a,
-         CASE WHEN coded = 1 THEN 'N' || a END, ap, game_id % 17, 'Away' FROM adv),
+         CASE WHEN coded = 1 THEN 'N' || a END, ap, game_id % 17, 'Away', mapped FROM adv),
 med AS (SELECT season, quantile_disc(raw, 0.5) AS m FROM adv_side WHERE raw IS NOT NULL GROUP BY season),
 advanced AS (SELECT adv_side.*, coalesce(raw, m) AS ppda FROM adv_side LEFT JOIN med USING (season)),
 silver AS (
@@ -216,6 +208,7 @@ silver AS (
          coalesce(v.club, r.team) AS team_understat,
          coalesce(v.code, upper(substr(r.team, 1, 3))) AS team_code
   FROM res r LEFT JOIN advanced v ON r.team = v.team AND r.opponent = v.opponent AND r.season = v.season
+       AND v.mapped
   QUALIFY row_number() OVER (PARTITION BY r.result_team_id
     ORDER BY (r.venue <> v.venue), abs(datediff('day', r.date, v.date)), v.game_team_id) = 1)
 """
@@ -250,3 +243,15 @@ def full_run_form(spark, sf_dir):
 @query("full_run_rolling", f"{FULL_RUN_SQL}, {sql.ROLLING.replace('FROM res', 'FROM silver')} SELECT * FROM rolling")
 def full_run_rolling(spark, sf_dir):
     return read_gold(spark, full_run(spark, sf_dir), "rolling_stats")
+
+
+@query("full_run_one_provider", f"""
+WITH {sql.NATION_RESULTS}
+SELECT result_team_id, result, points, goals, CAST(NULL AS VARCHAR) AS result_team_id_understat, team AS team_understat,
+       upper(substr(team, 1, 3)) AS team_code_understat, CAST(NULL AS REAL) AS ppda, CAST(NULL AS BIGINT) AS deep_completions
+FROM res""")
+def full_run_one_provider(spark, sf_dir):
+    """A run before the second provider has landed anything."""
+    return Published(spark, full_run(spark, sf_dir, advanced_too=False).table("results")).read().select(
+        "result_team_id", "result", "points", "goals", "result_team_id_understat", "team_understat",
+        "team_code_understat", "ppda", "deep_completions")

@@ -14,16 +14,17 @@ goal AS (
 game AS (
   SELECT o_orderkey AS game_id, substr(r_name, 1, 3) || '-' || r_name AS league,
          {SEASON} AS season, CAST(o_orderdate AS DATE) AS date,
-         '/en/matches/' || o_orderkey || '/x' AS match_report,
+         CASE WHEN o_orderstatus <> 'P' THEN '/en/matches/' || o_orderkey || '/x' END AS match_report,
          c_nationkey AS h, CAST((c_nationkey + 5 * (1 + o_orderkey % 4)) % 25 AS INTEGER) AS a,
-         coalesce(hg, 0) AS hg, coalesce(ag, 0) AS ag, hx, ax,
+         CASE WHEN o_orderstatus <> 'P' THEN coalesce(hg, 0) END AS hg,
+         CASE WHEN o_orderstatus <> 'P' THEN coalesce(ag, 0) END AS ag,
+         CASE WHEN o_orderstatus <> 'P' THEN hx END AS hx, CASE WHEN o_orderstatus <> 'P' THEN ax END AS ax,
          CAST(30 + o_orderkey % 41 AS INTEGER) AS hp
   FROM orders
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  LEFT JOIN goal ON l_orderkey = o_orderkey
-  WHERE o_orderstatus <> 'P'),
+  LEFT JOIN goal ON l_orderkey = o_orderkey),
 side AS (
   SELECT game_id, league, season, date, match_report,
          'NATION_' || h AS team, 'NATION_' || a AS opponent,
@@ -45,7 +46,7 @@ keyed AS (
                   upper(substr(team, 1, 3))) AS team_code,
          goals - goals_allowed AS goal_difference,
          expected_goals - expected_goals_allowed AS expected_goal_difference
-  FROM side),
+  FROM side WHERE match_report IS NOT NULL),
 scored AS (
   SELECT *, result_id || '-' || team || '-' || season AS result_team_id,
          CASE WHEN goals = goals_allowed THEN 'D' WHEN goals > goals_allowed THEN 'W' ELSE 'L' END AS result,

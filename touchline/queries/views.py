@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from touchline.operators.columns import display_names, project_existing
 from touchline.operators.ranking import group_quantiles, position, quartile_bands
 from touchline.operators.serving import Trace, compare_trends, distinct_values, semi_filter
-from touchline.operators.skew import MAX_GROUP_ROWS
 from touchline.operators.totals import last_n_form, season_totals
 from touchline.operators.trend import rolling_mean
 from touchline.plans import bridge, views
@@ -111,18 +110,13 @@ def historic_table(spark, sf_dir):
     return views.historic_table(totals(spark, sf_dir))
 
 
-def slice_rows(df):
-    """Rows per task for one big group: the default, less where the table is small."""
-    return min(MAX_GROUP_ROWS, max(1_000, df.count() // 64))
-
-
 @query("order_position_whole_table", """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS "Position"
 FROM orders""")
 def order_position_whole_table(spark, sf_dir):
-    """Numbers a whole table as one view, in sorted slices."""
+    """Numbers a whole table as one view."""
     orders = bridge.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return position(orders, "o_totalprice", ties=["o_orderkey"], max_group_rows=slice_rows(orders)).select(
+    return position(orders, "o_totalprice", ties=["o_orderkey"]).select(
         "o_orderkey", "Position")
 
 
@@ -166,10 +160,9 @@ SELECT l_returnflag, quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quan
        quantile_cont(l_quantity, 0.75) AS q3
 FROM lineitem GROUP BY l_returnflag""")
 def line_quantiles_hot_groups(spark, sf_dir):
-    """Three groups with a third of all lines each, ranked in slices."""
+    """Three groups with a third of all lines each, of few distinct values."""
     lines = bridge.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity")
-    edges = group_quantiles(lines, "l_quantity", [0.25, 0.5, 0.75], ["l_returnflag"],
-                            max_group_rows=slice_rows(lines))
+    edges = group_quantiles(lines, "l_quantity", [0.25, 0.5, 0.75], ["l_returnflag"])
     return edges.select("l_returnflag", *[F.col("edges")[i].alias(f"q{i + 1}") for i in range(3)])
 
 
@@ -181,10 +174,10 @@ SELECT l_returnflag, l_orderkey, l_linenumber, row_number() OVER s AS "Match_No"
        avg(l_quantity) OVER (s ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS mean_quantity
 FROM lineitem WINDOW s AS (PARTITION BY l_returnflag ORDER BY {', '.join(LINE_ORDER)})""")
 def line_rolling_hot_groups(spark, sf_dir):
-    """Three series with a third of all lines each, cut into stretches."""
+    """Three series with a third of all lines each."""
     lines = bridge.table(spark, sf_dir, "lineitem").select("l_returnflag", *LINE_ORDER)
     trend = rolling_mean(lines, ["l_returnflag"], [F.col(c).asc() for c in LINE_ORDER],
-                         {"mean_quantity": "l_quantity"}, max_group_rows=slice_rows(lines))
+                         {"mean_quantity": "l_quantity"})
     return trend.select("l_returnflag", "l_orderkey", "l_linenumber", "Match_No", "mean_quantity")
 
 

@@ -21,6 +21,9 @@ def build_session(app: str = "touchline", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Streaming state outside the heap: one row per key of a running table.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # Call-site capture costs a round trip per column expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

@@ -64,7 +64,7 @@ def materialize(df: DataFrame, table: str, comment: str = "",
     if comment:
         spark.sql(f"COMMENT ON TABLE {table} IS '{comment.replace(chr(39), chr(39) * 2)}'")
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        pairs = ", ".join("'{}' = '{}'".format(*(x.replace("'", "''") for x in pair)) for pair in properties.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
