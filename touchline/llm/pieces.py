@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import sys
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from types import ModuleType
 
 import numpy as np
@@ -22,7 +24,7 @@ SPACE = "▁"
 LATTICE_CHARS = 60
 #: Most frequent units that tasks hold in memory, at most (about 20 bytes each); the others are joined.
 HOT_UNITS = 1_500_000
-CACHE_WORDS, COUNT_AT_ONCE = 200_000, 200_000
+CACHE_WORDS, COUNT_AT_ONCE = 150_000, 200_000
 
 
 @dataclass
@@ -77,7 +79,7 @@ class Cutter:
     def __init__(self, pairs: set[str], memory: str):
         self.pairs = pairs
         worker = sys.modules.setdefault("touchline_units", ModuleType("touchline_units")).__dict__
-        self.known: dict[str, tuple[str, ...]] = worker.setdefault((memory, hash(frozenset(pairs))), {})
+        self.known: list[dict[str, tuple[str, ...]]] = worker.setdefault((memory, hash(frozenset(pairs))), [{}, {}])
 
     def words(self, text: str) -> list[str]:
         """What stands between single spaces, the space mark left out; runs of spaces stay in front of their word."""
@@ -96,13 +98,18 @@ class Cutter:
         return out
 
     def units(self, word: str) -> tuple[str, ...]:
-        got = self.known.get(word)
+        known, before = self.known
+        got = known.get(word)
         if got is None:
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            text = SPACE + word
-            cuts = [0, *[i for i in range(1, len(text)) if text[i - 1:i + 1] not in self.pairs], len(text)]
-            got = self.known[word] = tuple(text[a:b] for a, b in zip(cuts[:-1], cuts[1:]))
+            if len(known) > CACHE_WORDS:
+                self.known[:] = {}, known
+                known, before = self.known
+            got = before.get(word)
+            if got is None:
+                text = SPACE + word
+                cuts = [0, *[i for i in range(1, len(text)) if text[i - 1:i + 1] not in self.pairs], len(text)]
+                got = tuple([text[a:b] for a, b in zip(cuts[:-1], cuts[1:])])
+            known[word] = got
         return got
 
 
@@ -132,6 +139,10 @@ def count_units(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+#: An edge of the merge fold as one number: order of its piece, start, end (6 bits each), id.
+ID_BITS, PLACE_BITS = 24, 6
+
+
 def bit(at: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
@@ -147,56 +158,74 @@ def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     the ends of edges keeps the best score and path up to every place.
     """
     spark = units.sparkSession
-    table = spark.createDataFrame(vocabulary.pieces, "id int, piece string, score double")
+    order = {x: k for k, x in enumerate(sorted({-score for *_, score in vocabulary.pieces}))}
+    table = spark.createDataFrame([(*p, order[-p[2]]) for p in vocabulary.pieces], "id int, piece string, score double, place int")
     n = F.char_length("unit")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - s)), lambda k: F.struct(
-            s.alias("s"), (s + k).alias("e"), F.substring(F.col("unit"), s + 1, k).alias("piece")))))
-    edges = (units.withColumn("uid", F.monotonically_increasing_id()).select("uid", "unit", "n", F.inline(spans))
-             .join(F.broadcast(table), "piece", "left").filter(F.col("id").isNotNull() | (F.col("e") == F.col("s") + 1)))
-    kind = F.struct((-F.col("score")).alias("cost"), "s", "e", "id") if vocabulary.merges else F.struct(
-        "e", "s", F.coalesce("score", F.lit(min((x for *_, x in vocabulary.pieces), default=0.0) - 10.0)).alias("score"), "id")
+    spans = (units.withColumn("uid", F.monotonically_increasing_id())
+             .select("uid", "unit", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+             .select("uid", "unit", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - F.col("s")))).alias("k"))
+             .select("uid", "unit", "n", "s", (F.col("s") + F.col("k")).alias("e"), F.substring("unit", F.col("s") + 1, F.col("k")).alias("piece")))
+    edges = spans.join(F.broadcast(table), "piece", "left").filter(F.col("id").isNotNull() | (F.col("e") == F.col("s") + 1))
+    if vocabulary.merges:
+        assert max(i for i, *_ in vocabulary.pieces) < (1 << ID_BITS) - 1, "too many pieces to pack"
+        packed = F.coalesce("place", F.lit(0)).cast("long")
+        for part, bits in ((F.col("s"), PLACE_BITS), (F.col("e"), PLACE_BITS), (F.coalesce("id", F.lit((1 << ID_BITS) - 1)), ID_BITS)):
+            packed = F.call_function("shiftleft", packed, F.lit(bits)).bitwiseOR(part.cast("long"))
+        kind = packed
+    else:
+        low = min((x for *_, x in vocabulary.pieces), default=0.0) - 10.0
+        kind = F.struct("e", "s", F.coalesce("score", F.lit(low)).alias("score"), "id")
     grouped = edges.groupBy("uid", "unit").agg(F.first("n").alias("n"), F.collect_list(kind).alias("edges"))
-    path = merged(n) if vocabulary.merges else viterbi(n)
-    grouped = grouped.select("unit", "n", path.alias("path"))
-    fallback = F.array(F.lit(vocabulary.unknown))
+    grouped = grouped.select("unit", "n", (merged(n) if vocabulary.merges else viterbi(n)).alias("path"))
     if vocabulary.bytes:
         ids = F.array(*[F.lit(i) for i in vocabulary.bytes])
-        code = lambda t: F.hex(F.encode(F.substring(F.col("unit"), t["s"] + 1, F.lit(1)), "UTF-8"))
-        fallback = None
-    tokens = F.transform("path", lambda t: F.when(t["id"].isNotNull(), F.array(t["id"])).otherwise(
-        fallback if fallback is not None else F.transform(F.sequence(F.lit(0), (F.length(code(t)) / 2 - 1).cast("int")), lambda k: F.element_at(
-            ids, F.conv(F.substring(code(t), (2 * k + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + 1))))
-    return grouped.select("unit", "n", F.flatten(tokens).alias("ids"))
+
+        def single(t: Column) -> Column:
+            code = F.hex(F.encode(F.substring(F.col("unit"), t["s"] + 1, F.lit(1)), "UTF-8"))
+            return F.transform(F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")), lambda k: F.element_at(
+                ids, F.conv(F.substring(code, (2 * k + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + 1))
+    else:
+        def single(t: Column) -> Column:
+            return F.array(F.lit(vocabulary.unknown))
+    plain = F.transform("path", lambda t: t["id"])
+    wide = F.flatten(F.transform("path", lambda t: F.when(t["id"].isNotNull(), F.array(t["id"])).otherwise(single(t))))
+    return grouped.select("unit", "n", F.when(F.exists("path", lambda t: t["id"].isNull()), wide).otherwise(plain).alias("ids"))
 
 
 def merged(n: Column) -> Column:
-    """The tokens (s, e, id) after taking edges in order of cost and start wherever exactly two tokens make them up."""
-    def take(borders: Column, edge: Column) -> Column:
-        inner = F.call_function("shiftrightunsigned", borders, edge["s"] + 1).bitwiseAND(bit(edge["e"] - edge["s"] - 1) - 1)
-        single = (inner != 0) & (inner.bitwiseAND(inner - 1) == 0)
-        ends = bit(edge["s"]) + bit(edge["e"])
-        return F.when(single & (borders.bitwiseAND(ends) == ends), borders - F.call_function("shiftleft", inner, edge["s"] + 1)).otherwise(borders)
-    longer = F.sort_array(F.filter("edges", lambda x: x["e"] > x["s"] + 1))
-    borders = F.aggregate(longer, bit(n + 1) - 1, take)
-
-    def token(x: Column, borders: Column) -> Column:
-        ends = bit(x["s"]) + bit(x["e"])
-        return borders.bitwiseAND(bit(x["e"] + 1) - bit(x["s"])) == ends
-    final = F.transform(F.array(borders), lambda b: F.filter("edges", lambda x: token(x, b)))[0]
-    return F.sort_array(F.transform(final, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["id"].alias("id"))))
+    """The tokens (s, id) after taking edges in order of piece and start wherever exactly two tokens make them up."""
+    def start(x: Column) -> Column:
+        return F.shiftright(x, ID_BITS + PLACE_BITS).bitwiseAND(F.lit(63)).cast("int")
+
+    def end(x: Column) -> Column:
+        return F.shiftright(x, ID_BITS).bitwiseAND(F.lit(63)).cast("int")
+
+    def ends(x: Column) -> Column:
+        return bit(start(x)).bitwiseOR(bit(end(x)))
+
+    def span(borders: Column, x: Column) -> Column:
+        return borders.bitwiseAND(bit(end(x) + 1) - bit(start(x)))
+
+    def take(borders: Column, x: Column) -> Column:
+        # Both ends are borders, and one more between them goes.
+        return F.when((borders.bitwiseAND(ends(x)) == ends(x)) & (F.bit_count(span(borders, x)) == 3),
+                      borders - span(borders, x) + ends(x)).otherwise(borders)
+    borders = F.aggregate(F.sort_array("edges"), bit(n + 1) - 1, take)
+    final = F.transform(F.array(borders), lambda b: F.filter("edges", lambda x: span(b, x) == ends(x)))[0]
+    number = lambda x: x.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int")
+    return F.sort_array(F.transform(final, lambda x: F.struct(start(x).alias("s"), F.when(
+        number(x) != (1 << ID_BITS) - 1, number(x)).alias("id"))))
 
 
 def viterbi(n: Column) -> Column:
-    """The tokens of the path with the best sum of scores; of equal sums the one whose last token is longer."""
-    token = "struct<s:int,e:int,id:int>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.expr(f"cast(array() as array<{token}>)").alias("path")))
+    """The tokens (s, id) of the path with the best sum of scores; of equal sums the one whose last token is longer."""
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.expr("cast(array() as array<struct<s:int,id:int>>)").alias("path")))
 
     def best_to(states: Column, end: Column) -> Column:
-        steps = F.transform(F.sort_array(F.filter("edges", lambda x: x["e"] == end)), lambda x: F.struct(
+        steps = F.transform(F.filter("edges", lambda x: x["e"] == end), lambda x: F.struct(
             (F.element_at(states, x["s"] + 1)["score"] + x["score"]).alias("score"), (-x["s"]).alias("near"), x["s"].alias("s"), x["id"].alias("id")))
         top = F.transform(F.array(F.array_max(steps)), lambda t: F.struct(t["score"].alias("score"), F.array_append(
-            F.element_at(states, t["s"] + 1)["path"], F.struct(t["s"].alias("s"), end.alias("e"), t["id"].alias("id"))).alias("path")))
+            F.element_at(states, t["s"] + 1)["path"], F.struct(t["s"].alias("s"), t["id"].alias("id"))).alias("path")))
         return F.concat(states, top)
     return F.element_at(F.aggregate(F.sequence(F.lit(1), n), start, best_to), -1)["path"]
 
@@ -260,30 +289,41 @@ def encode_units(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
 
 @dataclass
 class Hot:
-    """Hashes of frequent units in order, and their ids one after another."""
+    """Frequent units in the order of their hashes: hash, a second hash, and their ids one after another."""
     hash: np.ndarray
+    check: np.ndarray
     ends: np.ndarray
     ids: np.ndarray
 
-    def get(self, unit: str) -> np.ndarray | None:
-        h = xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), 42)
-        at = int(np.searchsorted(self.hash, np.uint64(h)))
-        return self.ids[self.ends[at]:self.ends[at + 1]] if at < len(self.hash) and int(self.hash[at]) == h else None
-
-
-def hot_units(table: DataFrame, limit: int = HOT_UNITS) -> Hot:
-    """The units that occur most often, as many whole classes of equal counts as fit into `limit`."""
+    def find(self, units: list[str]) -> list[bytes | None]:
+        """The ids of each unit as 4-byte integers, None for a rare one."""
+        if not units or not len(self.hash):
+            return [None] * len(units)
+        data = [u.encode("utf-8", "surrogatepass") for u in units]
+        h = np.array([xxhash.xxh64_intdigest(x, 42) for x in data], np.uint64)
+        check = np.array([zlib.crc32(x) for x in data], np.uint32)
+        at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        known = (self.hash[at] == h) & (self.check[at] == check)
+        size = np.where(known, self.ends[at + 1] - self.ends[at], 0)
+        stops = np.cumsum(size)
+        flat = np.repeat(self.ends[at] - (stops - size), size) + np.arange(stops[-1])
+        ids = self.ids[flat].astype("<i4").tobytes()
+        return [ids[4 * (b - n):4 * b] if k else None for k, b, n in zip(known.tolist(), stops.tolist(), size.tolist())]
+
+
+def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
+    """The units that occur most often, as many whole classes of similar counts as fit into `limit`."""
     level = F.floor(F.log2("n") * 8)  # some hundreds of classes at most
-    room, least = limit, None
+    room, least = HOT_UNITS if limit is None else limit, None
     for row in sorted(table.groupBy(level.alias("level")).count().collect(), reverse=True):
         room -= row["count"]
         if room < 0:
             break
         least = row["level"]
     if least is None:
-        return Hot(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint16))
-    got = table.filter(level >= least).select(F.xxhash64("unit").alias("h"), "ids").toArrow()  # at most `limit` rows
-    h = got.column("h").to_numpy().view(np.uint64)
+        return Hot(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.uint16))
+    got = table.filter(level >= least).select(F.xxhash64("unit").alias("h"), F.crc32(F.encode("unit", "UTF-8")).alias("c"), "ids").toArrow()
+    h = got.column("h").to_numpy().view(np.uint64)  # at most `limit` rows
     lists = got.column("ids").combine_chunks()
     size = lists.value_lengths().to_numpy()
     flat = lists.flatten().to_numpy()
@@ -292,45 +332,62 @@ def hot_units(table: DataFrame, limit: int = HOT_UNITS) -> Hot:
     ends = np.concatenate([[0], np.cumsum(size[order])])
     take = np.repeat(starts[order] - ends[:-1], size[order]) + np.arange(len(flat))
     kind = np.uint16 if len(flat) == 0 or flat.max() < 1 << 16 else np.int32
-    return Hot(h[order], ends, flat[take].astype(kind))
+    return Hot(h[order], got.column("c").to_numpy().astype(np.uint32)[order], ends, flat[take].astype(kind))
 
 
 class Assembler:
-    """Texts to ids with the hot units and the rare ones of the text."""
+    """Texts to ids with the hot units and the rare ones of each text."""
 
-    def __init__(self, hot: Hot, pairs: set[str], texts: list[bytes], memory: str):
-        self.hot, self.texts, self.cutter = hot, texts, Cutter(pairs, f"{memory} words")
+    def __init__(self, hot: Hot, pairs: set[str], memory: str):
+        self.hot, self.cutter = hot, Cutter(pairs, memory)
         worker = sys.modules.setdefault("touchline_units", ModuleType("touchline_units")).__dict__
-        self.known: dict[str, bytes | None] = worker.setdefault(memory, {})
-
-    def hot_ids(self, unit: str) -> bytes | None:
-        ids = self.hot.get(unit)
-        # The text of the pieces tells a unit from another with the same hash.
-        if ids is None or b"".join([self.texts[i] for i in ids]) != unit.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
-            return None
-        return ids.astype("<i4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of words, or that they have rare units (None)."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for w in words - self.known.keys():
-            parts = [self.hot_ids(u) for u in self.cutter.units(w)]
-            self.known[w] = None if None in parts else b"".join(parts)
-
-    def rare(self, words: list[str]) -> set[str]:
-        self.learn(set(words))
-        return {u for w in set(words) if self.known[w] is None for u in self.cutter.units(w) if self.hot_ids(u) is None}
-
-    def ids(self, words: list[str], rare: dict[str, bytes]) -> np.ndarray:
-        self.learn(set(words))
-        if rare:
-            own = {w: self.known[w] for w in set(words)}
-            for w in [w for w, x in own.items() if x is None]:
-                own[w] = b"".join([rare[u] if u in rare else self.hot_ids(u) for u in self.cutter.units(w)])
-        else:
-            own = self.known
-        return np.frombuffer(b"".join([own[w] for w in words]), "<i4")
+        #: Ids of words used lately and before; None for a word with rare units.
+        self.known: list[dict[str, bytes | None]] = worker.setdefault(f"{memory} ids", [{}, {}])
+
+    def learn(self, words: set[str]) -> dict[str, bytes | None]:
+        """Ids of these words and others."""
+        if len(self.known[0]) > CACHE_WORDS:
+            self.known[:] = {}, self.known[0]
+        known, before = self.known
+        new = words - known.keys()
+        for w in new & before.keys():
+            known[w] = before[w]
+        new = list(new - known.keys())
+        units = [self.cutter.units(w) for w in new]
+        flat = list({u for x in units for u in x})
+        ids = dict(zip(flat, self.hot.find(flat)))
+        for w, x in zip(new, units):
+            parts = [ids[u] for u in x]
+            known[w] = None if None in parts else b"".join(parts)
+        return known
+
+    def rare(self, texts: list[str | None]) -> list[set[str]]:
+        """The rare units of each text."""
+        words = [set(self.cutter.words(t)) if t else set() for t in texts]
+        known = self.learn(set().union(*words))
+        units = [{u for w in x if known[w] is None for u in self.cutter.units(w)} for x in words]
+        flat = list(set().union(*units))
+        scarce = {u for u, x in zip(flat, self.hot.find(flat)) if x is None}
+        return [x & scarce for x in units]
+
+    def ids(self, texts: list[str | None], rare: list[dict[str, bytes]]) -> list[np.ndarray]:
+        split = [self.cutter.words(t) if t else [] for t in texts]
+        known = self.learn(set(chain.from_iterable(split)))
+        out = []
+        for words, own in zip(split, rare):
+            parts = [known[w] for w in words]
+            if None in parts:
+                made = {w: self.cutter.units(w) for w, x in zip(words, parts) if x is None}
+                flat = list({u for x in made.values() for u in x if u not in own})
+                own = own | dict(zip(flat, self.hot.find(flat)))
+                parts = [b"".join([own[u] for u in made[w]]) if x is None else x for w, x in zip(words, parts)]
+            out.append(np.frombuffer(b"".join(parts), "<i4"))
+        return out
+
+
+def text_key(text: str) -> int:
+    """What F.xxhash64 gives for a text."""
+    return int.from_bytes(xxhash.xxh64_digest(text.encode("utf-8", "surrogatepass"), 42), signed=True)
 
 
 def decoder(texts: list[bytes]):
@@ -354,35 +411,29 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     table = encode_units(rows, vocabulary)
     frequent = hot_units(table)
-    hot = spark.sparkContext.broadcast((frequent.hash, frequent.ends, frequent.ids))
+    hot = spark.sparkContext.broadcast((frequent.hash, frequent.check, frequent.ends, frequent.ids))
     pairs, texts, memory = vocabulary.pairs, vocabulary.texts(), f"units {uuid.uuid4().hex}"
     decode = decoder(texts)
 
     def scarce(batches):
-        maker = Assembler(Hot(*hot.value), pairs, texts, memory)
+        maker = Assembler(Hot(*hot.value), pairs, memory)
         for part in slices(batches, "text"):
-            found, hashes = [], []
-            for t in part.column("text").to_pylist():
-                if t:
-                    some = maker.rare(maker.cutter.words(t))
-                    found += some
-                    hashes += [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) - (1 << 64) * (xxhash.xxh64_intdigest(
-                        t.encode("utf-8", "surrogatepass"), 42) >> 63)] * len(some)
+            column = part.column("text").to_pylist()
+            found = [(text_key(t), u) for t, units in zip(column, maker.rare(column)) for u in units]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found)], ["text_hash", "unit"])
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([u for _, u in found])], ["text_hash", "unit"])
 
     seen = rows.select("text").mapInArrow(scarce, "text_hash long, unit string").join(table.select("unit", "ids"), "unit")
     seen = seen.dropDuplicates(["text_hash", "unit"]).groupBy("text_hash").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
     joined = rows.withColumn("text_hash", F.xxhash64("text")).join(seen.hint("shuffle_hash"), "text_hash", "left").select("id", "text", "rare")
 
     def put_together(batches):
-        maker = Assembler(Hot(*hot.value), pairs, texts, memory)
+        maker = Assembler(Hot(*hot.value), pairs, memory)
         for part in slices(batches, "text"):
-            lists, same = [], []
-            for t, rare in zip(part.column("text").to_pylist(), part.column("rare").to_pylist()):
-                ids = maker.ids(maker.cutter.words(t), {r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in rare or ()}) if t else np.zeros(0, "<i4")
-                lists.append(ids)
-                same.append(decode(ids.tolist()) == (t or ""))
+            column = part.column("text").to_pylist()
+            rare = [{r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in x or ()} for x in part.column("rare").to_pylist()]
+            lists = maker.ids(column, rare)
+            same = [decode(ids.tolist()) == (t or "") for t, ids in zip(column, lists)]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             values = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends), values),
