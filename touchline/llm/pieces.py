@@ -165,18 +165,21 @@ def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
              .select("uid", "unit", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
              .select("uid", "unit", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - F.col("s")))).alias("k"))
              .select("uid", "unit", "n", "s", (F.col("s") + F.col("k")).alias("e"), F.substring("unit", F.col("s") + 1, F.col("k")).alias("piece")))
-    edges = spans.join(F.broadcast(table), "piece", "left").filter(F.col("id").isNotNull() | (F.col("e") == F.col("s") + 1))
+    edges = spans.join(F.broadcast(table), "piece", "left")
     if vocabulary.merges:
-        assert max(i for i, *_ in vocabulary.pieces) < (1 << ID_BITS) - 1, "too many pieces to pack"
-        packed = F.coalesce("place", F.lit(0)).cast("long")
-        for part, bits in ((F.col("s"), PLACE_BITS), (F.col("e"), PLACE_BITS), (F.coalesce("id", F.lit((1 << ID_BITS) - 1)), ID_BITS)):
-            packed = F.call_function("shiftleft", packed, F.lit(bits)).bitwiseOR(part.cast("long"))
-        kind = packed
+        assert max(i for i, *_ in vocabulary.pieces) < 1 << ID_BITS, "too many pieces to pack"
+        # Single characters need no edge; the first one stands for its unit in case there are no edges at all.
+        edges = edges.filter((F.col("id").isNotNull() & (F.col("e") > F.col("s") + 1)) | (F.col("e") == 1))
+        kind = F.col("place").cast("long")
+        for part, bits in ((F.col("s"), PLACE_BITS), (F.col("e"), PLACE_BITS), (F.col("id"), ID_BITS)):
+            kind = F.call_function("shiftleft", kind, F.lit(bits)).bitwiseOR(part.cast("long"))
+        kind = F.when(F.col("e") > 1, kind)  # collect_list leaves NULLs out
     else:
+        edges = edges.filter(F.col("id").isNotNull() | (F.col("e") == F.col("s") + 1))
         low = min((x for *_, x in vocabulary.pieces), default=0.0) - 10.0
         kind = F.struct("e", "s", F.coalesce("score", F.lit(low)).alias("score"), "id")
     grouped = edges.groupBy("uid", "unit").agg(F.first("n").alias("n"), F.collect_list(kind).alias("edges"))
-    grouped = grouped.select("unit", "n", (merged(n) if vocabulary.merges else viterbi(n)).alias("path"))
+    grouped = grouped.select("unit", "n", (merged(n, vocabulary) if vocabulary.merges else viterbi(n)).alias("path"))
     if vocabulary.bytes:
         ids = F.array(*[F.lit(i) for i in vocabulary.bytes])
 
@@ -192,8 +195,14 @@ def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return grouped.select("unit", "n", F.when(F.exists("path", lambda t: t["id"].isNull()), wide).otherwise(plain).alias("ids"))
 
 
-def merged(n: Column) -> Column:
-    """The tokens (s, id) after taking edges in order of piece and start wherever exactly two tokens make them up."""
+def merged(n: Column, vocabulary: Vocabulary) -> Column:
+    """The tokens (s, id) after taking edges in order of piece and start wherever exactly two tokens make them up.
+
+    Characters that stay alone are looked up in a text of all single characters.
+    """
+    alone = sorted(((p, i) for i, p, _ in vocabulary.pieces if len(p) == 1), key=lambda x: (x[0] != SPACE, x[0]))
+    alphabet, numbers = F.lit("".join(p for p, _ in alone)), F.array(*[F.lit(i) for _, i in alone])
+
     def start(x: Column) -> Column:
         return F.shiftright(x, ID_BITS + PLACE_BITS).bitwiseAND(F.lit(63)).cast("int")
 
@@ -210,11 +219,18 @@ def merged(n: Column) -> Column:
         # Both ends are borders, and one more between them goes.
         return F.when((borders.bitwiseAND(ends(x)) == ends(x)) & (F.bit_count(span(borders, x)) == 3),
                       borders - span(borders, x) + ends(x)).otherwise(borders)
+
+    def by_itself(s: Column) -> Column:
+        place = F.call_function("locate", F.substring(F.col("unit"), s + 1, F.lit(1)), alphabet)
+        return F.struct(s.alias("s"), F.when(place > 0, F.element_at(numbers, place)).alias("id"))
+
+    def tokens(borders: Column) -> Column:
+        joined = F.transform(F.filter("edges", lambda x: span(borders, x) == ends(x)), lambda x: F.struct(
+            start(x).alias("s"), x.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int").alias("id")))
+        lone = F.filter(F.sequence(F.lit(0), n - 1), lambda s: F.call_function("shiftright", borders, s).bitwiseAND(F.lit(3)) == 3)
+        return F.sort_array(F.concat(joined, F.transform(lone, by_itself)))
     borders = F.aggregate(F.sort_array("edges"), bit(n + 1) - 1, take)
-    final = F.transform(F.array(borders), lambda b: F.filter("edges", lambda x: span(b, x) == ends(x)))[0]
-    number = lambda x: x.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int")
-    return F.sort_array(F.transform(final, lambda x: F.struct(start(x).alias("s"), F.when(
-        number(x) != (1 << ID_BITS) - 1, number(x)).alias("id"))))
+    return F.transform(F.array(borders), tokens)[0]
 
 
 def viterbi(n: Column) -> Column:
