@@ -24,7 +24,9 @@ SPACE = "▁"
 LATTICE_CHARS = 60
 #: Most frequent units that tasks hold in memory, at most (about 20 bytes each); the others are joined.
 HOT_UNITS = 1_500_000
-CACHE_WORDS, COUNT_AT_ONCE = 150_000, 200_000
+CACHE_WORDS, COUNT_AT_ONCE = 150_000, 300_000
+#: Text looked up at once: words that recur in it are cut and looked up once.
+TEXT_AT_ONCE = 6 << 20
 
 
 @dataclass
@@ -124,7 +126,7 @@ def count_units(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
             out = pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], ["unit", "n"])
             counts.clear()
             return out
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_AT_ONCE):
             words = Counter()
             for t in part.column("text").to_pylist():
                 if t:
@@ -292,7 +294,7 @@ def by_heap(unit: str, vocabulary: Vocabulary) -> list[int]:
 
 def encode_units(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """The table (unit, n, ids) of all distinct units."""
-    units = count_units(docs, vocabulary, text)
+    units = stored(count_units(docs, vocabulary, text), "counts")
     short = lattice(units.filter(F.char_length("unit") <= LATTICE_CHARS), vocabulary)
 
     def run(batches):
@@ -433,7 +435,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     def scarce(batches):
         maker = Assembler(Hot(*hot.value), pairs, memory)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_AT_ONCE):
             column = part.column("text").to_pylist()
             found = [(text_key(t), u) for t, units in zip(column, maker.rare(column)) for u in units]
             if found:
@@ -445,7 +447,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     def put_together(batches):
         maker = Assembler(Hot(*hot.value), pairs, memory)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_AT_ONCE):
             column = part.column("text").to_pylist()
             rare = [{r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in x or ()} for x in part.column("rare").to_pylist()]
             lists = maker.ids(column, rare)
