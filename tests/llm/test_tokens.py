@@ -51,6 +51,20 @@ def test_token_files_equal_the_library(spark):
     assert tokens.read_tokens(tokens.write_tokens(frame.limit(0), path, folder), folder).count() == 0
 
 
+def test_token_query_equals_the_library_as_it_is(spark, tmp_path):
+    from tokenizers import Tokenizer
+    texts = [*TEXTS, "x <|endoftext|> y", "a<|endoftext|>b\nc", "<|endoftext", "plain words"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in queries.QUERIES["op7_token_files"](spark, str(tmp_path)).collect()}
+    library, start, want = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json")), 0, {}
+    assert library.encode("x <|endoftext|> y", add_special_tokens=False).ids == [87, 220, 50256, 331]
+    for key, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        want[key] = start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    assert got == want
+
+
 @pytest.mark.parametrize("hot", [pieces.HOT_UNITS, 3])
 def test_pieces_equal_the_library(spark, monkeypatch, hot):
     import sentencepiece

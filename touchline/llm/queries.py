@@ -40,7 +40,7 @@ def vocabulary(name: str) -> str:
 @query
 def op7_token_files(spark, sf_dir):
     folder = scratch_dir(spark, "tokens")
-    manifest = write_tokens(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), folder)
+    manifest = write_tokens(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), folder, added_tokens=True)
     return read_tokens(manifest, folder)
 
 

@@ -120,13 +120,17 @@ class Encoder:
 
     The pre-tokenizer ends every piece before a space and puts a single line feed on its own. So texts whose only white
     space are single spaces and line feeds are looked up word by word. Words not seen yet are encoded together, one to a
-    line. Texts with other white space are encoded whole.
+    line. Texts with other white space are encoded whole. With `added_tokens` the text of an added token (such as
+    <|endoftext|>) becomes its id, as the library does by default, and texts that hold one are encoded whole, too; without
+    it special tokens are text like any other.
     """
 
-    def __init__(self, path: str, item: int):
+    def __init__(self, path: str, item: int, added_tokens: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        assert not any("\n" in t for t in self.added), "words are encoded one to a line"
         self.kind = f"<u{item}"
         self.line = np.array(self.fresh("\n"), self.kind)
         assert len(self.line) == 1, "a line feed must be one id"
@@ -156,7 +160,8 @@ class Encoder:
         for words in self.known:
             if len(words[0]) > CACHE_WORDS:
                 words[:] = {}, words[0]
-        split = [[x.split(" ") for x in t.split("\n")] if t and plain_spaces(t) else None for t in texts]
+        split = [[x.split(" ") for x in t.split("\n")] if t and plain_spaces(t) and not any(a in t for a in self.added) else None
+                 for t in texts]
         lines = [x for t in split if t for x in t]
         self.learn({x[0] for x in lines}, 0)
         self.learn(set(chain.from_iterable([x[1:] for x in lines])), 1)
@@ -177,18 +182,19 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None, key: str = "doc_id", text: str = "text",
-                 end_id: int = 0, id_bytes: int = 2) -> DataFrame:
+                 end_id: int = 0, id_bytes: int = 2, added_tokens: bool = False) -> DataFrame:
     """Write the ids of all texts in ascending key order; return the manifest: shard, path, docs, ids.
 
     The rows are dealt out by key ranges, so shard k holds keys before those of shard k + 1 and no task sees more than
     its range. Each text is followed by `end_id`; NULL texts are empty; NULL keys come first; rows with equal keys are
     in the order of their texts. Every attempt of a task writes a file of its own and the manifest names the one that
-    counted, so lost executors leave unused files at most. An empty table has an empty manifest.
+    counted, so lost executors leave unused files at most. An empty table has an empty manifest. With `added_tokens` texts
+    of added tokens become their ids.
     """
     folder = folder or scratch_dir(docs.sparkSession, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, keys, known, lengths, parts = Encoder(vocabulary, id_bytes), [], [], [], []
+        encode, keys, known, lengths, parts = Encoder(vocabulary, id_bytes, added_tokens), [], [], [], []
         end = np.array([end_id], f"<u{id_bytes}").tobytes()
         for part in slices(batches, "text"):
             keys.append(part.column("id").fill_null(0).to_numpy())
