@@ -85,6 +85,14 @@ def test_language_held_out(spark):
     assert language.keep_known(frame.limit(0), known).count() == 0
 
 
+def test_language_with_long_documents_only(spark):
+    rng = random.Random(2)
+    rows = [(i, speech("aa", rng, 60), "aa") for i in range(30)] + [(100 + i, "1 2 " * 2_000 + speech("bb", rng, 3_000), "bb") for i in range(3)]
+    known = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert sorted(known.names) == ["aa", "bb"]
+    assert [known.predict(speech(lang, rng, 40))[0] for lang in ("aa", "bb")] == ["aa", "bb"]
+
+
 def test_toxicity_held_out(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "BITS", 14)
     monkeypatch.setattr(toxicity, "STEPS", 6)

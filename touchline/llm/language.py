@@ -82,13 +82,18 @@ class Languages:
 def learn(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Languages:
     """One dictionary per value of `lang`, from a bounded sample of the rows for which `allowed` holds.
 
-    Taken are whole texts of at most SAMPLE_CHARS characters with a letter, those with the smallest hash of the key
-    first, until DICTIONARY_BYTES. Rows with NULL text, language or key teach nothing. Equal texts count once.
+    Taken are texts with a letter, those of at most SAMPLE_CHARS characters first and among them those with the smallest
+    hash of the key, until DICTIONARY_BYTES; of longer ones SAMPLE_CHARS characters from their first letter on. So every
+    language with a letter in some allowed row is learned. Rows with NULL text, language or key teach nothing. Equal texts
+    count once.
     """
     rows = docs.filter(allowed & F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    by_hash = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    by_hash = W.partitionBy("lang").orderBy("long", F.xxhash64("id"), "id")
+    # Long texts are cut from their first letter on, so that every slice has one.
+    start = F.regexp_replace("text", r"^\P{L}+", "")
     fit = (rows.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-           .filter(F.length("text").between(1, SAMPLE_CHARS) & F.col("text").rlike(r"\p{L}"))
+           .filter(F.col("text").rlike(r"\p{L}")).withColumn("long", F.length("text") > SAMPLE_CHARS)
+           .withColumn("text", F.when(F.col("long"), F.substring(start, 1, SAMPLE_CHARS)).otherwise(F.col("text")))
            .withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= SAMPLE_DOCS))
     texts: dict[str, list[bytes]] = {}
     for row in fit.orderBy("lang", "n").select("lang", "text").collect():  # SAMPLE_DOCS texts of bounded length per language
