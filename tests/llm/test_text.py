@@ -151,6 +151,21 @@ def test_numbers_that_fail_their_check_stay():
         assert privacy.replace(text, p) == (text, 0)
 
 
+@pytest.mark.parametrize("value, beside", [
+    ("4111 1111 1111 1111", " 12/25"), ("4111111111111111", " 123"), ("4111 1111 1111 1111", " 123 x"), ("BE68 5390 0754 7034", " EUR 5"),
+    ("BE68 5390 0754 7034", " BANK OK"), ("GB82 WEST 1234 5698 7654 32", " GBP")])
+def test_values_with_a_group_behind_them(value, beside):
+    p = privacy.Permuter(b"key")
+    alone, _ = privacy.replace(value, p)
+    assert alone != value and privacy.replace(f"pay {value}{beside}", p) == (f"pay {alone}{beside}", 1)
+    assert privacy.replace(f"no 12 {value}, {value}{beside}", p) == (f"no 12 {alone}, {alone}{beside}", 2)
+
+
+def test_groups_of_a_number_that_fails_are_no_telephone_numbers():
+    for text in ("4041 8949 7460 8796", "GB82 WEST 1234 5698 7654 33", "4041 8949 7460 8796 12/25"):
+        assert privacy.replace(text, privacy.Permuter(b"key")) == (text, 0)
+
+
 def test_permutations_move_every_number():
     p = privacy.Permuter(b"key")
     for n in (2, 3, 10, 97, 260):

@@ -30,6 +30,12 @@ VALUE = re.compile(rf"""
   | (?P<phone>(?<![\w+])(?:\+\d{{1,3}}[\ .-]?)?(?:\(\d{{2,4}}\)[\ .-]?|\d{{2,4}}[\ .-])\d{{3,4}}[\ .-]\d{{3,4}}(?!\w)|(?<![\w+])\+\d{{8,15}}(?!\w))
 """, re.X)
 ANY = re.compile(r"[0-9@]")
+#: Characters of an IBAN by country, from the registry.
+IBAN_SIZES = {k: n for n, names in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for k in names.split()}
 
 
 class Permuter:
@@ -213,22 +219,49 @@ KINDS: dict[str, Callable[[Permuter, str, int], str | None]] = {
     "email": email, "iban": iban, "secret": secret, "ymd": ymd, "dmy": dmy, "named": named, "ssn": ssn, "ip": ip, "card": card, "phone": phone}
 
 
+def shorter(name: str, text: str) -> list[str]:
+    """Prefixes of a failed candidate that end where a group does: cards of 13 digits or more, the longest first, and the
+    IBAN of its country's length (any length for a country that is not listed)."""
+    if name == "card":
+        ends = [i for i in range(len(text) - 1, 0, -1) if text[i] in " -"]
+        return [text[:i] for i in ends if sum(map(str.isdigit, text[:i])) >= 13]
+    if name == "iban":
+        size = IBAN_SIZES.get(text[:2])
+        ends = [i for i in range(len(text) - 1, 0, -1) if text[i] == " "]
+        return [text[:i] for i in ends if size in (None, i - text[:i].count(" "))]
+    return []
+
+
 def replace(text: str, p: Permuter, step: int = 1) -> tuple[str, int]:
-    """The text with its values replaced, and their number. `step` -1 turns pseudonyms back into values."""
-    found = 0
+    """The text with its values replaced, and their number. `step` -1 turns pseudonyms back into values.
 
-    def one(m: re.Match) -> str:
-        nonlocal found
-        name = next(k for k in KINDS if m[k])
-        new = KINDS[name](p, m[name], step)
-        if new is None and name == "card":  # digits in groups may still be a telephone number
-            again = VALUE_PHONE.fullmatch(m[0])
-            new = phone(p, m[0], step) if again else None
-        found += new is not None
-        return m[0] if new is None else new
+    A card number or IBAN may be followed by a group that the pattern takes for a part of it: where the longest match
+    fails its check, its shorter parts are tried, and the search goes on right behind what was accepted. In a candidate
+    without a valid part only later cards and IBANs are looked for: its groups are no telephone numbers of their own.
+    """
     if not ANY.search(text):
         return text, 0
-    return VALUE.sub(one, text), found
+    out, found, done, at, failed = [], 0, 0, 0, 0
+    while m := VALUE.search(text, at):
+        name = next(k for k in KINDS if m[k])
+        if m.start() < failed and name not in ("card", "iban"):
+            at = m.start() + 1
+            continue
+        value, new = m[name], KINDS[name](p, m[name], step)
+        for part in shorter(name, value) if new is None else ():
+            new = KINDS[name](p, part, step)
+            if new is not None:
+                value = part
+                break
+        if new is None and name == "card" and VALUE_PHONE.fullmatch(value):  # digits in groups may still be a telephone number
+            new = phone(p, value, step)
+        at = m.start() + len(value)
+        if new is not None:
+            out += text[done:m.start()], new
+            found, done = found + 1, at
+        elif name in ("card", "iban"):
+            at, failed = m.start() + 1, max(failed, at)  # a value may start inside what failed
+    return "".join(out) + text[done:], found
 
 
 VALUE_PHONE = re.compile(r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}")
@@ -241,7 +274,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     right), US social security numbers that can be issued, IPv4 addresses, telephone numbers, dates from 1900 to 2099
     and hexadecimal secrets of 32 digits or more. Equal values have equal pseudonyms in all documents, different ones
     different pseudonyms, none stays the same, and who has the key can undo it (but for the
-    leading zeros of dates). Numbers that fail their check stay. NULL
+    leading zeros of dates, and for a card or IBAN whose pseudonym happens to pass its check together with a group beside
+    it). Numbers that fail their check stay. NULL
     texts stay NULL with 0 values, texts without values stay as they are. An empty table gives no rows. A column of the
     name n_values is replaced.
     """
