@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,6 +223,30 @@ def test_leaks_found_and_clean_documents_left_alone(spark):
     assert leaks.leaks(frame, bench.limit(0)).count() == leaks.leaks(frame.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("known", [0, 1])
+def test_leaks_below_the_cosine(known):
+    """Paraphrases with 62 % of the words and the whole answer, and short items, whatever the latent space says of them."""
+    rng, terms = random.Random(5), 1 << leaks.TERM_BITS
+    weight = [1 / (k + 1) for k in range(3_000)]
+    speak = lambda n: [f"w{k}x" for k in rng.choices(range(3_000), weight, k=n)]
+    items, docs = {}, []
+    for i in range(300):
+        body, answer = speak(rng.randint(20, 50) if i % 2 else rng.randint(3, 5)), speak(3)
+        items[i] = f"{' '.join(body)}. {' '.join(answer)}."
+        if i % 2:  # other words take the place of some
+            size = len(body) + 3
+            lost = set(rng.sample(range(len(body)), size - -(-62 * size // 100)))
+            body = [f"other{rng.randrange(10 ** 6)}" if k in lost else w for k, w in enumerate(body)]
+        docs.append(" ".join(speak(rng.randint(0, 300)) + body + answer + speak(rng.randint(0, 300))))
+    rows = [{"item": i, "text": t} for i, t in items.items()]
+    basis = np.random.default_rng(1).standard_normal((terms, 4)).astype(np.float32) * known
+    space = leaks.Latent(np.ones(terms), basis)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(300)), "text": docs})
+    found = [r for out in leaks.search(space, rows, items)(iter([batch])) for r in out.to_pylist()]
+    assert {(i, i) for i in range(300)} <= {(r["id"], r["item"]) for r in found}
+    assert all(r["common"] >= leaks.LEAK or r["common"] >= leaks.PARAPHRASE and r["answer"] >= leaks.ANSWER for r in found)
+
+
 def test_more_passages_than_a_block_holds(spark, monkeypatch):
     monkeypatch.setattr(leaks, "PASSAGES_AT_ONCE", 5)
     rng = random.Random(6)

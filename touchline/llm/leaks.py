@@ -21,6 +21,9 @@ BLOCK, WINDOWS = 8, (1, 2, 4)
 COSINE = 0.6
 #: A window whose part in the latent space is shorter than this share of the passage's has too few of its words.
 LEAST_SHARE = 0.3
+#: Windows the latent space does not find are compared, too, if they have this part of the words a leak needs at least,
+#: counted over the rarest words of the item, of which every leak has so many.
+RARE_PART = 1 / 4
 #: Share of an item's words, in order, that a leak has: alone, or together with the whole answer.
 LEAK, PARAPHRASE, ANSWER = 0.8, 0.6, 0.9
 #: Passages searched for at once; more are searched in further passes over the documents.
@@ -160,7 +163,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     All documents are counted for the term weights and searched as a whole. Windows whose cosine with a passage of an item
     in the latent space is at least COSINE are compared with the item by their longest common subsequence of words, with
-    as many words on either side as the item has. A document leaks an item with LEAK of its words, or with PARAPHRASE of
+    as many words on either side as the item has. So are all windows, whatever their cosine, that have with these words on
+    either side as many of the item's rarest words as every leak must have; so no leak depends on the latent space, the
+    number of items or their length. A document leaks an item with LEAK of its words, or with PARAPHRASE of
     them and ANSWER of its answer. Words are runs of letters and digits, so that case and punctuation do not matter. One
     row per document and item, the best window. NULL, empty and wordless texts and items match nothing; items of fewer
     words than a block are searched in windows of one. NULL keys stay NULL. Empty tables give no rows.
@@ -191,6 +196,68 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     return best.select(F.col("id").alias(key), F.col("item").alias("item_id"), "b.cosine", "b.common", "b.answer")
 
 
+class Rare:
+    """The rarest words of items, to find the windows that may hold a leak by the words they share.
+
+    A leak has t of the m words of an item, so it lacks m - t at most; of the rarest m - t + l it has at least l.
+    """
+
+    def __init__(self, sequence: dict[int, list[int]], idf: np.ndarray):
+        self.items = [i for i, x in sequence.items() if x]
+        self.size = np.array([len(sequence[i]) for i in self.items], np.int64)
+        need = np.ceil(PARAPHRASE * self.size - 1e-9).astype(np.int64)
+        self.least = np.maximum(1, (RARE_PART * need).astype(np.int64))
+        self.width = BLOCK * np.array(WINDOWS)[np.searchsorted(BLOCK * np.array(WINDOWS), self.size).clip(max=len(WINDOWS) - 1)]
+        word, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for k, i in enumerate(self.items):
+            all_words = np.array(sequence[i], np.uint64)
+            rarity = idf[(all_words >> np.uint64(64 - TERM_BITS)).astype(np.int64)]
+            some = np.unique(all_words[np.argsort(-rarity, kind="stable")[:self.size[k] - need[k] + self.least[k]]])
+            word.append(some)
+            owner.append(np.full(len(some), k))
+        word, owner = np.concatenate(word), np.concatenate(owner)
+        order = np.argsort(word, kind="stable")
+        self.words, first = np.unique(word[order], return_index=True)
+        self.owner, self.first = owner[order], np.append(first, len(word))
+        self.known = np.zeros(1 << TERM_BITS, bool)
+        self.known[(self.words >> np.uint64(64 - TERM_BITS)).astype(np.int64)] = True
+
+    def windows(self, words, term: np.ndarray, cuts: np.ndarray, number: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first and last block at which they start) of all windows that, with the words on either side, have enough."""
+        at = np.flatnonzero(self.known[term])
+        code = np.searchsorted(self.words, words.hash[at]).clip(max=max(0, len(self.words) - 1))
+        same = self.words[code] == words.hash[at]
+        at, code = at[same], code[same]
+        if not len(at):
+            return
+        many = self.first[code + 1] - self.first[code]
+        ends = np.cumsum(many)
+        k = self.owner[np.arange(ends[-1]) - np.repeat(ends - many - self.first[code], many)]
+        at = np.repeat(at, many)
+        order = np.argsort(k, kind="stable")
+        k, at = k[order], at[order]
+        last = np.arange(len(k)) + self.least[k] - 1
+        inside = last < len(k)
+        first, last = np.flatnonzero(inside), last[inside]
+        k, a, b, owner = k[first], at[first], at[last], k[last]
+        fits = (k == owner) & (words.text[a] == words.text[b]) & (b - a < 2 * self.size[k] + self.width[k])
+        k, a, b = k[fits], a[fits], b[fits]
+        low = np.maximum(cuts[words.text[a]], b - self.width[k] - self.size[k] + 1)
+        high = np.minimum(cuts[words.text[a] + 1] - 1, a + self.size[k])
+        low, high = number[low], number[np.maximum(low, high)]
+        count = high - low + 1
+        ends = np.cumsum(count)
+        if not len(ends):
+            return
+        block = np.arange(ends[-1]) - np.repeat(ends - count - low, count)
+        blocks = int(number[-1]) + 1
+        k, block = np.divmod(np.unique(np.repeat(k, count) * blocks + block), blocks)
+        apart = (np.diff(k) != 0) | (np.diff(block) != 1) | (np.diff(doc[block]) != 0)
+        first = np.append(0, np.flatnonzero(apart) + 1)
+        for k, low, high in zip(k[first].tolist(), block[first].tolist(), block[np.append(first[1:], len(block)) - 1].tolist()):
+            yield self.items[k], low, high
+
+
 def search(space: Latent, passages: list, items: dict[int, str]):
     """Windows of documents against a block of passages, each passage against windows of its length."""
     words, term = buckets(pa.array([p["text"] for p in passages]))
@@ -211,6 +278,10 @@ def search(space: Latent, passages: list, items: dict[int, str]):
     projection = np.concatenate([space.projection, np.zeros((1, space.projection.shape[1]), np.float32)])
     item_places = {i: places_of(x) for i, x in sequence.items()}
     answer_places = {i: places_of(x) for i, x in answers.items()}
+    rare = Rare(sequence, space.idf)
+    own: dict[int, list[int]] = {}
+    for k, i in enumerate(owner):
+        own.setdefault(i, []).append(k)
 
     def check(i: int, window: list[int]) -> tuple[float, float]:
         size = len(sequence[i])
@@ -260,6 +331,19 @@ def search(space: Latent, passages: list, items: dict[int, str]):
                         b = min(int(cuts[doc[row] + 1]), first + size * BLOCK + reach)
                         share, answer = check(i, words.hash[a:b].tolist())
                         best[place] = (share, answer, cosine)
+            for i, low, high in rare.windows(words, term, cuts, number, doc):
+                reach, d, width = len(sequence[i]), int(doc[low]), BLOCK * WINDOWS[scale[own[i][0]]]
+                start, stop = int(cuts[d]), int(cuts[d + 1])
+                around = lambda a, b: words.hash[max(start, int(starts[a]) - reach):min(stop, int(starts[b]) + width + reach)].tolist()  # noqa: B023, E731
+                if low < high and check(i, around(low, high))[0] < PARAPHRASE:
+                    continue  # no part of a stretch has more than the whole
+                for at in range(low, high + 1):
+                    share, answer = check(i, around(at, at))
+                    if share >= LEAK or share >= PARAPHRASE and answer >= ANSWER:
+                        first = int(starts[at])
+                        window = projection[term[first:min(stop, first + width)]].sum(axis=0)
+                        cosine = float((vectors[own[i]] @ window).max() / max(1e-9, np.linalg.norm(window)))
+                        best[d, i, -1 - first] = (share, answer, cosine)
             kept = [(d, i, *v) for (d, i, _), v in best.items() if v[0] >= LEAK or v[0] >= PARAPHRASE and v[1] >= ANSWER]
             if kept:
                 ids = part.column("id").take(pa.array([x[0] for x in kept]))
