@@ -13,6 +13,7 @@ from touchline.llm.lines import drop_lines
 from touchline.llm.pages import extract
 from touchline.llm.pieces import encode
 from touchline.llm.privacy import pseudonymise
+from touchline.llm.resampling import resample
 from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
@@ -94,3 +95,9 @@ def op2_pieces(spark, sf_dir):
 def op4_pseudonyms(spark, sf_dir):
     out = pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), DEMONSTRATION_KEY)
     return out.select("doc_id", "n_values", "text")
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    out = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
