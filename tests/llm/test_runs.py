@@ -1,0 +1,123 @@
+"""Periodic runs against a brute-force version."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from touchline.llm import queries, runs
+
+
+def brute(w, least=12):
+    """All maximal stretches with their smallest period."""
+    n, found = len(w), {}
+    for p in range(1, n // 2 + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and w[j] == w[j + p]:
+                j += 1
+            if j + p - i >= max(least, 2 * p):
+                found.setdefault((i, j + p), p)
+            i = max(j, i) + 1
+    return sorted((s, e - s, p) for (s, e), p in found.items())
+
+
+def in_sequence(w, least=12):
+    sequence = np.array([10**6, *w, 10**6 + 1])
+    s, e, p = runs.sequence_runs(sequence, np.array([1]), np.array([len(w)]), least)
+    return [(a - 1, b - a, c) for a, b, c in zip(s.tolist(), e.tolist(), p.tolist(), strict=True)]
+
+
+def samples(rng):
+    yield []
+    yield [1]
+    yield [1] * 500
+    yield [1, 2] * 40 + [1]
+    fib, prev = [1, 2], [1]
+    while len(fib) < 300:
+        fib, prev = fib + prev, fib
+    yield fib
+    for _ in range(150):
+        size, letters = rng.choice([12, 13, 25, 60, 150]), rng.choice([1, 2, 3, 5])
+        yield [rng.randrange(letters) for _ in range(size)]
+    for _ in range(60):
+        w = []
+        while len(w) < 200:
+            part = [rng.randrange(4) for _ in range(rng.choice([1, 2, 3, 7, 20]))]
+            w += part * rng.choice([1, 2, 5, 11]) + part[:rng.randrange(len(part))]
+        yield w
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 1 << 20])
+def test_runs_equal_brute_force(monkeypatch, at_once):
+    monkeypatch.setattr(runs, "PLACES_AT_ONCE", at_once)
+    for w in samples(random.Random(at_once)):
+        for least in (2, 12):
+            assert in_sequence(w, least) == brute(w, least), w
+
+
+@pytest.mark.parametrize("few", [1, 4096])
+def test_extensions_equal_brute_force(monkeypatch, few):
+    monkeypatch.setattr(runs, "FEW_SYMBOLS", few)
+    rng = random.Random(few)
+    for w in samples(rng):
+        s = np.array([10**6, *w, 10**6 + 1])
+        if len(w) < 2:
+            continue
+        grammar = runs.Grammar(s)
+        i = np.array([rng.randrange(1, len(s) - 1) for _ in range(60)])
+        j = np.array([rng.randrange(1, len(s) - 1) for _ in range(60)])
+        i, j = np.minimum(i, j)[i != j], np.maximum(i, j)[i != j]
+        for step in (1, -1):
+            for a, b, n in zip(i, j, grammar.extend(i, j, step), strict=True):
+                want = 0
+                while s[a + step * want] == s[b + step * want]:
+                    want += 1
+                assert n == want
+
+
+def digest(key, text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h, n = zlib.crc32(b"" if key is None else str(key).encode()), len(w)
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    found = brute(w)
+    drop = {i for s, size, q in found for i in range(s + q, s + size)}
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return (key, len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha("".join(f"{s},{size},{q}\n" for s, size, q in found)), sha(" ".join(x for i, x in enumerate(w) if i not in drop)))
+
+
+TEXTS = [None, "", " \t\n\x0b\x0c\r ", "one", "\x1ca\x85b \xa0c " * 13, "Aé 日本 " * 20 + "end", "x " * 40_000 + "y", " a  b\tc " * 5]
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(rng.choice([2, 40]))}" for _ in range(rng.choice([3, 30, 120]))) for _ in range(150)]
+    rows = [(i, t, "x", 1) for i, t in enumerate([*TEXTS, *texts])] + [(None, "n m " * 9, "x", 1), (3, "one", "x", 1), (3, "one", "x", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, runs string, period int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.QUERIES["op11_runs"](spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert [t for _, t in out.dtypes] == ["bigint"] * 6 + ["string"] * 2
+    got = sorted(map(tuple, out.collect()), key=str)
+    want = [digest(k, t) for k, t, *_ in rows if t is None or len(t) < 10_000]
+    assert sorted((r for r in got if r[0] != 6), key=str) == sorted(want, key=str)
+    long = next(r for r in got if r[0] == 6)
+    assert long[1] >= 1 and long[3] >= 10_000
+    assert any(zlib.crc32(str(k).encode()) % 10 == 0 for k, t, *_ in rows if t and len(t.split()) > 12)
+
+
+def test_operator_on_an_empty_table_and_texts(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    assert runs.find_runs(frame).count() == 0
+    row = runs.find_runs(spark.createDataFrame([("k", "a b " * 8 + "c")], "key string, body string"), "key", "body").first()
+    assert row["key"] == "k" and row["n_words"] == 17 and row["collapsed"] == "a b c"
+    assert [tuple(r) for r in row["runs"]] == [(0, 16, 2)]

@@ -14,6 +14,7 @@ from touchline.llm.pages import extract
 from touchline.llm.pieces import encode
 from touchline.llm.privacy import pseudonymise
 from touchline.llm.resampling import resample
+from touchline.llm.runs import find_runs, repeated, word_count
 from touchline.llm.shared import crc32_of_id, read
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
@@ -101,3 +102,27 @@ def op4_pseudonyms(spark, sf_dir):
 def op12_resampling(spark, sf_dir):
     out = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """About one document in ten, by the crc32 of its id, repeats its last words with some period."""
+    h, n = F.col("_h"), F.col("_n")
+    g = F.floor(h / 10)
+    start, period = (g % n).cast("int"), (1 + F.floor((n - g % n) / (3 + g % 8))).cast("int")
+    some = docs.select("doc_id", "text", crc32_of_id().alias("_h"))
+    some = some.withColumn("_n", F.when(h % 10 == 0, word_count(F.col("text"))).otherwise(0).cast("long"))
+    return some.select("doc_id", F.when(n > 0, repeated(F.col("text"), start, period)).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_runs(spark, sf_dir):
+    found = find_runs(planted_repeats(read(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"),
+                                                              (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return (found.withColumn("_best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"), "_best.length",
+                    (-F.col("_best.period")).alias("period"),
+                    F.expr("1000 * _best.length div -_best.period").alias("exponent_milli"),
+                    F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
