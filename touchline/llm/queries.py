@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.chats import as_log, digests, format_log
 from touchline.llm.language import identify, learn
 from touchline.llm.leaks import leaks
 from touchline.llm.lines import drop_lines
@@ -15,7 +16,7 @@ from touchline.llm.pieces import encode
 from touchline.llm.privacy import pseudonymise
 from touchline.llm.resampling import resample
 from touchline.llm.runs import find_runs, repeated, word_count
-from touchline.llm.shared import crc32_of_id, read
+from touchline.llm.shared import crc32_of_id, read, stored
 from touchline.llm.simhash import simhash_groups
 from touchline.llm.tokens import read_tokens, write_tokens
 from touchline.llm.toxicity import score, train
@@ -126,3 +127,11 @@ def op11_runs(spark, sf_dir):
                     F.expr("1000 * _best.length div -_best.period").alias("exponent_milli"),
                     F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
                     F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+@query
+def op13_chats(spark, sf_dir):
+    control = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return digests(stored(format_log(as_log(rows)), "chats"))
