@@ -28,3 +28,23 @@ def latest_record(spark: SparkSession, location: str) -> tuple[int, str] | None:
             return None
         raise
     return None if newest is None else (newest["version"], newest["body"])
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder, whatever store it is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below a folder; none where it does not exist."""
+    store, at = _folder(spark, path)
+    if not store.exists(at):
+        return []
+    return sorted(f.getPath().toString() for f in store.listStatus(at) if f.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the library's own making, such as a staged copy; one that is gone already is no error."""
+    store, at = _folder(spark, path)
+    store.delete(at, True)
