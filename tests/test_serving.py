@@ -95,3 +95,17 @@ def test_views_are_filtered_and_pruned_at_the_scan(spark):
     shown = views.view(spark.read.parquet(place), league="a").select("Season", "xGD W")
     plan = shown._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(League,a)" in plan and "unused" not in plan.split("ReadSchema")[1]
+
+
+def test_registered_views_open_the_folders_they_ask_for(spark):
+    """The tables behind the views are laid out by league and season, and a view's filters choose folders."""
+    from touchline.queries.views import totals
+    table = totals(spark, "/root/testdata/sf0.001")
+    league, season = table.select("League", "Season").first()
+    for view, filters in ((views.league_table(table, league, season), ("League", "Season")),
+                          (views.combined_table(table, season), ("Season",)), (views.historic_table(table, league), ("League",))):
+        plan = view._jdf.queryExecution().executedPlan().toString()
+        scans = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+        assert scans and all(f"{c}#" in scan for scan in scans for c in filters), scans
+        assert "Scan ExistingRDD" not in plan
+        assert view.count() > 0

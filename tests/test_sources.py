@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from touchline.session import scratch_dir
 from touchline.sinks.tables import Published, materialize, write_clustered, write_snapshot
-from touchline.sources.landing import newest_files, newest_snapshot, scan_landing
+from touchline.sources.landing import list_files, newest_file, read_newest, scan_landing
 from touchline.sources.rescue import read_with_rescue
 from touchline.sources.schemas import evolve_schema, load_schema, path_columns, save_schema
 from touchline.streaming.ingest import append_stream, ingest_files, read_ingested
@@ -23,10 +23,10 @@ def write(spark, path, data, ddl, mode="append"):
 
 
 def files(spark, path):
-    return newest_files(spark, path, 100)
+    return [r["path"] for r in list_files(spark, path).collect()]
 
 
-def test_evolve_adds_columns_and_keeps_types():
+def test_evolve_adds_columns_and_keeps_types(spark):
     merged = evolve_schema(schema("a int, b string"), schema("A string, c double"))
     assert [(f.name, f.dataType.simpleString()) for f in merged] == [
         ("a", "int"), ("b", "string"), ("c", "double")]
@@ -73,7 +73,7 @@ def test_partition_folder_wins_and_stays_text(spark):
 
 def test_missing_and_empty_folders(spark):
     place = scratch_dir(spark, "test")
-    assert newest_files(spark, place) == []
+    assert newest_file(spark, place) is None and read_newest(spark, place) is None
     assert scan_landing(spark, place, schema("a int")).count() == 0
     assert scan_landing(spark, place, schema("a int")).columns == ["a", "source_file", "file_modification_time"]
     with pytest.raises(AnalysisException):
@@ -84,8 +84,99 @@ def test_newest_snapshot_has_all_files_of_its_write(spark):
     place = scratch_dir(spark, "test")
     write_snapshot(spark.range(10).repartition(3), place, "2025-01-02")
     write_snapshot(spark.range(100, 110).repartition(2), place, "2025-01-01")
-    newest = newest_snapshot(spark, place)
-    assert len(newest) == 2 and all("ingestion_date=2025-01-01" in p for p in newest)
+    newest = read_newest(spark, place)
+    read = {r[0] for r in newest.select("_metadata.file_path").distinct().collect()}
+    assert len(read) == 2 and all("ingestion_date=2025-01-01" in p for p in read)
+    assert sorted(r["id"] for r in newest.collect()) == list(range(100, 110))
+
+
+def test_newest_snapshot_over_many_folders_and_of_other_writers(spark, tmp_path):
+    import pandas as pd
+    place = scratch_dir(spark, "test")
+    rows = spark.range(40).selectExpr("id", "string(id % 5) AS season")
+    write_snapshot(rows.selectExpr("id + 100 AS id", "season"), place, "2025-01-02", ["season"])
+    write_snapshot(rows, place, "2025-01-01", ["season"])
+    newest = read_newest(spark, place, schema("id long, season string, ingestion_date string"))
+    assert sorted(r["id"] for r in newest.collect()) == list(range(40))
+    assert {r["ingestion_date"] for r in newest.select("ingestion_date").collect()} == {"2025-01-01"}
+    for name in ("a[1].parquet", "b{2}.parquet", "b2.parquet"):
+        pd.DataFrame({"n": [name]}).to_parquet(tmp_path / name)
+        assert [r["n"] for r in read_newest(spark, str(tmp_path)).collect()] == [name]
+
+
+def by_hand(folder, name, **columns):
+    """A file as another program would write it."""
+    import pandas as pd
+    folder.mkdir(parents=True, exist_ok=True)
+    pd.DataFrame(columns).to_parquet(folder / f"{name}.parquet")
+
+
+def test_many_single_files_cost_few_driver_reads(spark, tmp_path, monkeypatch):
+    from touchline.sources import schemas
+    for i in range(200):
+        columns = [{"id": [i], "gf": [i]}, {"id": [i], "gf": [f"{i} (4)"]}, {"id": [i], "gf": [i], "extra": ["x"]}][i % 3]
+        by_hand(tmp_path / f"day={i % 7}", f"f{i}", **columns)
+    opened = []
+    footer = schemas._footer
+    monkeypatch.setattr(schemas, "_footer", lambda *a: opened.append(a[1]) or footer(*a))
+    paths = files(spark, str(tmp_path))
+    found = schemas.footer_schemas(spark, paths, str(tmp_path))
+    assert len(paths) == 200 and len(opened) == 3 == len(found)
+    assert sorted(len(f) for f in found.values()) == [66, 67, 67]
+    df = read_with_rescue(spark, paths, schema("id long, gf long, extra string, day string"), str(tmp_path), by_schema=found)
+    got = {r["id"]: (r["gf"], r["extra"], r["_rescued_data"] is not None) for r in df.collect()}
+    assert got == {i: [(i, None, False), (None, None, True), (i, "x", False)][i % 3] for i in range(200)}
+    # Files that a task must not read, or cannot, stand for themselves.
+    assert schemas.footer_prints(spark, paths, max_bytes=10) == {}
+    (tmp_path / "broken.parquet").write_bytes(b"PAR1 no footer PAR1")
+    assert schemas.footer_prints(spark, [str(tmp_path / "broken.parquet")]) == {}
+
+
+def test_a_late_file_with_an_old_time_is_read_once(spark, tmp_path):
+    import os
+    source, place = tmp_path / "in", scratch_dir(spark, "test")
+
+    def ingest(**options):
+        ingest_files(spark, str(source), f"{place}/t", f"{place}/c", f"{place}/s", max_files=2, **options)
+        return sorted(r["id"] for r in read_ingested(spark, f"{place}/t", f"{place}/s").collect())
+    for i, day in enumerate(("2023-01-01", "2025-06-01", "2025-06-08", "2025-06-15")):
+        by_hand(source / f"ingestion_date={day}", "a", id=[i])
+    assert ingest(open_days=30) == [0, 1, 2, 3]  # the first run reads all days
+    by_hand(source / "ingestion_date=2025-06-01", "late", id=[10])
+    os.utime(source / "ingestion_date=2025-06-01" / "late.parquet", (0, 0))
+    assert ingest(open_days=30) == [0, 1, 2, 3, 10]
+    by_hand(source / "ingestion_date=2023-01-01", "closed", id=[11])
+    assert ingest(open_days=30) == [0, 1, 2, 3, 10]
+    assert ingest(open_days=None) == [0, 1, 2, 3, 10, 11]
+
+
+def test_closed_days_leave_the_ledger(spark, tmp_path):
+    from touchline.sinks.records import subfolders
+    from touchline.streaming.ingest import FileLedger
+    source, place = tmp_path / "in", scratch_dir(spark, "test")
+    for i, day in enumerate(("2025-01-01", "2025-01-02", "2025-03-01", "2025-03-02", "2025-03-03")):
+        by_hand(source / f"ingestion_date={day}", "a", id=[i])
+    for _ in range(2):
+        ingest_files(spark, str(source), f"{place}/t", f"{place}/c", f"{place}/s", max_files=1, open_days=10)
+        assert [int(f.rpartition("=")[2]) for f in subfolders(spark, f"{place}/c/ledger")] == [2, 3, 4]
+    assert FileLedger(spark, f"{place}/c/ledger", 10).position() == (5, "2025-02-21")
+    assert read_ingested(spark, f"{place}/t", f"{place}/s").count() == 5
+
+
+def test_a_batch_that_was_not_recorded_is_written_again(spark, tmp_path, monkeypatch):
+    from touchline.streaming import ingest as module
+    source, place = tmp_path / "in", scratch_dir(spark, "test")
+    by_hand(source, "a", id=[1])
+    by_hand(source, "b", id=[2])
+    commit = module.FileLedger.commit
+    monkeypatch.setattr(module.FileLedger, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        ingest_files(spark, str(source), f"{place}/t", f"{place}/c", f"{place}/s")
+    monkeypatch.setattr(module.FileLedger, "commit", commit)
+    by_hand(source, "c", id=[3])
+    for _ in range(2):
+        ingest_files(spark, str(source), f"{place}/t", f"{place}/c", f"{place}/s")
+    assert sorted(r["id"] for r in read_ingested(spark, f"{place}/t", f"{place}/s").collect()) == [1, 2, 3]
 
 
 def test_ingestion_reads_each_file_once_and_adds_columns(spark, rows):
@@ -161,3 +252,52 @@ def test_dates_in_snapshots_are_text(spark):
     place = scratch_dir(spark, "test")
     write_snapshot(spark.range(1), place, dt.date(2025, 3, 4))
     assert spark.read.schema("id long, ingestion_date string").parquet(place).first() == (0, "2025-03-04")
+
+
+def file_bytes(spark, table):
+    at = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return sorted(r["length"] for r in at.load(f"{table.path}/data-{table.version()}").select("length").collect())
+
+
+def test_published_files_have_the_target_size(spark):
+    """Many small parts become few files and one large part becomes several, whatever the input's own parts."""
+    from functools import reduce
+
+    target = 1 << 20
+    noise = F.expr("string(rand(7))")
+    small = reduce(lambda a, b: a.union(b), [spark.range(i * 50, i * 50 + 50, numPartitions=1).select("id", noise.alias("s")) for i in range(64)])
+    many, one = (Published(spark, scratch_dir(spark, "test")) for _ in range(2))
+    many.publish(small, file_bytes=target)
+    assert len(file_bytes(spark, many)) == 1
+    one.publish(spark.range(0, 400_000, numPartitions=1).select("id", noise.alias("s")), file_bytes=target)
+    sizes = file_bytes(spark, one)
+    assert sum(sizes) > 4 * target and len(sizes) >= 4 and max(sizes) < 2 * target and sizes[1] > target / 4
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(128 << 20)
+    hot = Published(spark, scratch_dir(spark, "test"))
+    hot.publish(spark.range(0, 400_000).selectExpr("id", "string(rand(7)) AS s", "IF(id < 350000, 'hot', string(id % 3)) AS k"),
+                partition_by=["k"], file_bytes=target)
+    assert max(file_bytes(spark, hot)) < 2 * target and hot.read().columns == ["id", "s", "k"]
+    assert hot.read().filter("k = 'hot'").count() == 350_000
+
+
+def test_a_version_records_comment_tag_and_rule_counts(spark):
+    from touchline.operators.quality import Rule
+    table = Published(spark, scratch_dir(spark, "test"))
+    rules = [Rule("even", "id % 2 = 0", "drop"), Rule("small", "id < 8", "drop"), Rule("odd_ones", "id % 2 = 1", "warn"), Rule("not_negative", "id >= 0")]
+    df = spark.range(10).withColumn("k", F.lit("x"))
+    for options in ({}, {"cluster_by": ["id"]}, {"partition_by": ["k"]}):
+        table.publish(df, comment="It's a table", tags={"quality": "silver"}, rules=rules, **options)
+        assert sorted(r["id"] for r in table.read().collect()) == [0, 2, 4, 6]
+        assert table.read().columns == ["id", "k"]
+    report = table.report().collect()
+    assert len(report) == 12 and {r["version"] for r in report} == {0, 1, 2}
+    assert {(r["comment"], r["quality"], r["checked"], r["kept"]) for r in report} == {("It's a table", "silver", 10, 4)}
+    assert {(r["rule"], r["action"], r["broken"]) for r in report} == {
+        ("even", "drop", 5), ("small", "drop", 2), ("odd_ones", "warn", 5), ("not_negative", "fail", 0)}
+    with pytest.raises(Exception, match="rule not_negative broken"):
+        table.publish(spark.range(-2, 3).withColumn("k", F.lit("x")), rules=rules)
+    assert table.version() == 2 and table.read().count() == 4
+    plain = Published(spark, scratch_dir(spark, "test"))
+    plain.publish(spark.range(0))
+    row = plain.report().first()
+    assert (row["checked"], row["kept"], row["rule"], row["quality"]) == (0, 0, None, None) and plain.read().count() == 0

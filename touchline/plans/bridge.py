@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from touchline.functions.casts import iso_text
 from touchline.functions.text import extract_id, joined_id, tiered_code
 from touchline.operators.enrich import outcome_columns, to_sides
+from touchline.session import freeze
 from touchline.sinks.tables import write_snapshot
 
 # Fixed values of the bridge: codes for some teams, the others fall back to letters.
@@ -146,7 +147,8 @@ def customer_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 FIRST_RUN, SECOND_RUN = "2001-09-01", "2001-09-08"
 
 
-def land_nation_model(spark: SparkSession, sf_dir: str, landing: str, advanced_too: bool = True) -> DataFrame:
+def land_nation_model(spark: SparkSession, sf_dir: str, landing: str, advanced_too: bool = True,
+                      broken: bool = False) -> DataFrame:
     """Land both providers' snapshots of the nation model, or the first one's; returns the name mapping.
 
     In the first run nobody knows the goals yet. In the second they are text such
@@ -162,20 +164,21 @@ def land_nation_model(spark: SparkSession, sf_dir: str, landing: str, advanced_t
         F.col("expected_goals_allowed").cast("double").alias("xGA"),
         F.col("possession").cast("double").alias("Poss"), F.lit("4-3-3").alias("Formation"),
         F.lit("4-4-2").alias("Opp Formation"), "match_report")
+    rows = freeze(rows)
     unknown = F.lit(None).cast("bigint")
     folder = f"{landing}/match_team_schedule"
     write_snapshot(rows.withColumns({"GF": unknown, "GA": unknown}), folder, FIRST_RUN)
     write_snapshot(rows.withColumns({c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("GF", "GA")}),
                    folder, SECOND_RUN)
     if advanced_too:
-        land_advanced(spark, sf_dir, f"{landing}/match_team_stats_understat")
+        land_advanced(spark, sf_dir, f"{landing}/match_team_stats_understat", broken)
     key = F.col("n_nationkey").cast("string")
     return table(spark, sf_dir, "nation").select(
         F.concat(F.lit("N"), key).alias("understat_club_name"),
         F.concat(F.lit("NATION_"), key).alias("master_club_name"))
 
 
-def land_advanced(spark: SparkSession, sf_dir: str, folder: str) -> None:
+def land_advanced(spark: SparkSession, sf_dir: str, folder: str, broken: bool = False) -> None:
     """Both weekly snapshots of the second provider."""
     order = F.col("o_orderkey")
     home = F.col("c_nationkey").cast("int")
@@ -199,4 +202,10 @@ def land_advanced(spark: SparkSession, sf_dir: str, folder: str) -> None:
         (order % 13).alias("home_deep_completions"), (order % 17).alias("away_deep_completions"))
     missing = F.lit(None).cast("double")
     write_snapshot(advanced.withColumns({"home_ppda": missing, "away_ppda": missing}), folder, FIRST_RUN)
+    if broken:
+        game = F.col("game_id")
+        bad = advanced.filter(game % 50 == 0).withColumns({
+            "league": F.when(game % 100 != 0, F.col("league")), "date": F.lit(None).cast("string"), "game_id": -1 - game,
+            "home_ppda": missing, "away_ppda": missing})
+        advanced = advanced.unionByName(bad)
     write_snapshot(advanced, folder, SECOND_RUN)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from touchline.operators.trend import rolling_mean
 from touchline.plans.catalogue import Layout
 from touchline.sinks.tables import Published
 
+# Views ask for a league, a season or both.
+SERVED_BY = ("League", "Season")
+
 # The window length and the metrics of the trend table.
 WINDOW = 8
 TREND_METRICS = {
@@ -56,9 +61,18 @@ def rolling_stats(results: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> D
 
 
 def run_gold(spark: SparkSession, layout: Layout) -> None:
-    """Recompute the three gold tables from the published results."""
+    """Recompute the three gold tables from the published results, in folders by league and season."""
     results = Published(spark, layout.table("results")).read()
     code = "team_code_understat"
-    for name, rows in {"headline_stats": headline_stats(results, code), "form_stats": form_stats(results, code),
-                       "rolling_stats": rolling_stats(results)}.items():
-        Published(spark, layout.table(name)).publish(rows)
+    tables = {
+        "headline_stats": (season_totals(results, code=code), HEADLINE_RULES, "Totals of each team and season"),
+        "form_stats": (last_n_form(results, n=WINDOW, code=code), FORM_RULES, f"Totals of each team's last {WINDOW} matches"),
+        "rolling_stats": (rolling_stats(results), (), f"Means over {WINDOW} matches at each match of a team and season")}
+    for name, (rows, rules, comment) in tables.items():
+        publish_gold(Published(spark, layout.table(name)), rows, rules, comment)
+
+
+def publish_gold(table: Published, rows: DataFrame, rules: Sequence[Rule] = (), comment: str = "") -> DataFrame:
+    """Publish a table that is read by league and season; returns it as its readers see it."""
+    table.publish(rows, partition_by=SERVED_BY, comment=comment, tags={"quality": "gold"}, rules=rules)
+    return table.read()

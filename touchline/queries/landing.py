@@ -9,13 +9,13 @@ from touchline.operators.enrich import to_sides
 from touchline.operators.recency import recent_rows
 from touchline.plans import bridge
 from touchline.plans.catalogue import Layout
-from touchline.plans.pipeline import read_gold, run_pipeline
+from touchline.plans.pipeline import read_gold, run_pipeline, run_report
 from touchline.queries import sql
 from touchline.queries.conforming import LATEST_EVENT
 from touchline.queries.registry import query
 from touchline.session import scratch_dir
 from touchline.sinks.tables import Published, write_clustered, write_snapshot
-from touchline.sources.landing import newest_snapshot, read_snapshot, scan_landing
+from touchline.sources.landing import read_newest, scan_landing
 from touchline.streaming.current import CurrentTable, read_batches, running_latest, write_batches
 from touchline.streaming.ingest import append_stream, ingest_files, read_ingested
 
@@ -139,8 +139,7 @@ def newest_file_rows(spark, sf_dir):
     for run_date, df in (("2001-09-08", rows.withColumn("o_orderkey", key + 1_000_000_000)),
                          ("2001-09-15", rows.withColumn("o_orderkey", -key)), ("2001-09-01", rows)):
         write_snapshot(df, path, run_date)
-    newest = read_snapshot(spark, newest_snapshot(spark, path), path)
-    return recent_rows(newest, "o_orderdate", dt.date(2001, 6, 1)).select("o_orderkey", "o_orderdate")
+    return recent_rows(read_newest(spark, path), "o_orderdate", dt.date(2001, 6, 1)).select("o_orderkey", "o_orderdate")
 
 
 @query("schema_drift_scan", """
@@ -176,11 +175,11 @@ def schema_drift_scan(spark, sf_dir):
                         F.get_json_object("_rescued_data", "$.GF").alias("rescued_gf"), "extra")
 
 
-def full_run(spark, sf_dir, advanced_too=True):
+def full_run(spark, sf_dir, advanced_too=True, broken=False):
     """Land the nation model and run all stages."""
     work = scratch_dir(spark, "full-run")
     layout = Layout(f"{work}/landing", f"{work}/warehouse")
-    mapping = bridge.land_nation_model(spark, sf_dir, layout.landing, advanced_too)
+    mapping = bridge.land_nation_model(spark, sf_dir, layout.landing, advanced_too, broken)
     run_pipeline(spark, layout, mapping, as_of=dt.date(2001, 7, 1))
     return layout
 
@@ -255,3 +254,27 @@ def full_run_one_provider(spark, sf_dir):
     return Published(spark, full_run(spark, sf_dir, advanced_too=False).table("results")).read().select(
         "result_team_id", "result", "points", "goals", "result_team_id_understat", "team_understat",
         "team_code_understat", "ppda", "deep_completions")
+
+
+@query("full_run_rule_counts", f"""
+WITH {sql.NATION_RESULTS},
+bad AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 100 = 0) AS unnamed FROM orders WHERE o_orderkey % 50 = 0),
+sides AS (SELECT 2 * (SELECT count(*) FROM orders) + 2 * n AS n, 2 * n AS undated, 2 * unnamed AS unnamed FROM bad),
+tot AS (SELECT count(DISTINCT team_id) AS n FROM res),
+form AS (SELECT count(DISTINCT team_id) AS n FROM res WHERE season = (SELECT max(season) FROM res)),
+advanced AS (
+  SELECT 'results_advanced' AS "table", 'silver' AS quality, rule || '_not_null' AS rule, 'drop' AS action, n AS checked, n - undated AS kept,
+         CASE rule WHEN 'date' THEN undated WHEN 'league' THEN unnamed ELSE 0 END AS broken
+  FROM sides, (SELECT unnest(['league', 'season_understat', 'game_id', 'date']) AS rule)),
+results AS (
+  SELECT 'results', 'silver', rule || '_not_null', 'fail', (SELECT count(*) FROM res), (SELECT count(*) FROM res), 0
+  FROM (SELECT unnest(['result_team_id', 'result_id', 'team_id', 'league', 'season', 'date', 'team']) AS rule))
+SELECT * FROM advanced UNION ALL SELECT * FROM results
+UNION ALL SELECT 'headline_stats', 'gold', rule, 'fail', n, n, 0
+  FROM tot, (SELECT unnest(['headline_points_not_null', 'headline_league_format', 'headline_mp_consistency']) AS rule)
+UNION ALL SELECT 'form_stats', 'gold', rule, CASE rule WHEN 'form_points_not_null' THEN 'drop' ELSE 'fail' END, n, n, 0
+  FROM form, (SELECT unnest(['form_points_not_null', 'form_league_format', 'form_mp_check']) AS rule)""")
+def full_run_rule_counts(spark, sf_dir):
+    """What a run over games without dates and leagues recorded: rows checked, kept and breaking each rule."""
+    report = run_report(spark, full_run(spark, sf_dir, broken=True))
+    return report.filter("rule IS NOT NULL AND comment <> ''").select("table", "quality", "rule", "action", "checked", "kept", "broken")

@@ -11,10 +11,11 @@ from touchline.operators.serving import Trace, compare_trends, distinct_values,
 from touchline.operators.totals import last_n_form, season_totals
 from touchline.operators.trend import rolling_mean
 from touchline.plans import bridge, views
-from touchline.plans.gold import rolling_stats
+from touchline.plans.gold import publish_gold, rolling_stats
 from touchline.queries import sql
 from touchline.queries.registry import query
-from touchline.session import freeze
+from touchline.session import scratch_dir
+from touchline.sinks.tables import Published
 
 TOTALS_SQL = f"WITH {sql.NATION_RESULTS}, tot AS ({sql.totals('res')})"
 FORM_SQL = f"WITH {sql.NATION_RESULTS}, {sql.RECENT}, form AS ({sql.totals('recent')})"
@@ -26,12 +27,12 @@ def display_list(columns, skip=()):
 
 
 def totals(spark, sf_dir):
-    """The stored totals table: views are read many times, so it is computed once."""
-    return freeze(season_totals(bridge.nation_results(spark, sf_dir)))
+    """The published totals table, in folders by league and season as views read it."""
+    return publish_gold(Published(spark, scratch_dir(spark, "totals")), season_totals(bridge.nation_results(spark, sf_dir)))
 
 
 def form(spark, sf_dir):
-    return freeze(last_n_form(bridge.nation_results(spark, sf_dir)))
+    return publish_gold(Published(spark, scratch_dir(spark, "form")), last_n_form(bridge.nation_results(spark, sf_dir)))
 
 
 @query("display_projection", f"""

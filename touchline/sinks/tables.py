@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.operators.columns import quoted
-from touchline.sinks.records import append_record, latest_record
+from touchline.operators.quality import Rule, expect
+from touchline.session import TARGET_PARTITION_BYTES, settings
+from touchline.sinks.records import RECORD, append_record, latest_record, remove
 
 
 def stamp(df: DataFrame, run_date: dt.date | str, column: str = "ingestion_date") -> DataFrame:
@@ -68,31 +73,80 @@ def materialize(df: DataFrame, table: str, comment: str = "",
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
+def sized_files(spark: SparkSession, file_bytes: int):
+    """Settings under which a rebalanced write makes files of about `file_bytes`, however its input is cut.
+
+    Spark measures the shuffled rows, which are within a small factor of the file they become.
+    """
+    return settings(spark, {"spark.sql.adaptive.enabled": "true",
+                            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+                            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+                            "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true"})
+
+
 @dataclass(frozen=True)
 class Published:
     """A recomputed table in a folder: each version is written to a folder of its
     own and only then recorded, so readers never see half a table and a failed
-    run leaves the last version in place."""
+    run leaves the last version in place.
+
+    The record of a version holds its schema, comment, tags and how many rows were checked, broke each rule and were kept.
+    """
 
     spark: SparkSession
     path: str
 
-    def version(self) -> int | None:
+    def _newest(self) -> tuple[int, dict] | None:
         newest = latest_record(self.spark, f"{self.path}/versions")
+        return None if newest is None else (newest[0], json.loads(newest[1]))
+
+    def version(self) -> int | None:
+        newest = self._newest()
         return None if newest is None else newest[0]
 
-    def publish(self, df: DataFrame, version: int | None = None, cluster_by: Sequence[str] = ()) -> None:
-        if version is None:
-            current = self.version()
-            version = 0 if current is None else current + 1
+    def publish(self, df: DataFrame, version: int | None = None, cluster_by: Sequence[str] = (),
+                partition_by: Sequence[str] = (), comment: str = "", tags: Mapping[str, str] | None = None,
+                rules: Sequence[Rule] = (), file_bytes: int = TARGET_PARTITION_BYTES) -> None:
+        """Check, write and record a version.
+
+        Rules drop rows or fail the write; what they found is counted while the rows are written. Files aim at `file_bytes`.
+        `partition_by` lays the table out in folders, so that a reader with a filter on these columns opens those only;
+        `cluster_by` sorts it over ranges instead.
+        """
+        current = self.version()
+        version = (0 if current is None else current + 1) if version is None else version
         folder = f"{self.path}/data-{version}"
-        # Scans and adaptive shuffles already end in parts of about the target size.
-        laid_out = clustered(df, cluster_by) if cluster_by else df
-        laid_out.write.mode("overwrite").parquet(folder)
-        append_record(self.spark, f"{self.path}/versions", version, folder)
+        kept = Observation(f"kept-{uuid.uuid4().hex}")
+        rows, seen = expect(df, rules, f"checked-{uuid.uuid4().hex}")
+        rows = rows.observe(kept, F.count(F.lit(1)).alias("kept"))
+        if cluster_by:
+            # Cutting ranges runs the input twice; rows are checked and counted once, before.
+            staged = f"{self.path}/staged-{version}"
+            rows.write.mode("overwrite").parquet(staged)
+            clustered(self.spark.read.schema(df.schema).parquet(staged), cluster_by).write.mode("overwrite").parquet(folder)
+            remove(self.spark, staged)
+        else:
+            with sized_files(self.spark, file_bytes):
+                writer = rows.hint("rebalance", *partition_by).write.mode("overwrite")
+                (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+        counts = seen.get
+        body = {"folder": folder, "schema": df.schema.jsonValue(), "comment": comment, "tags": dict(tags or {}),
+                "checked": counts["rows"], "kept": kept.get["kept"],
+                "rules": [{"rule": r.name, "action": r.action, "broken": counts[r.name]} for r in rules]}
+        append_record(self.spark, f"{self.path}/versions", version, json.dumps(body))
 
     def read(self) -> DataFrame:
-        newest = latest_record(self.spark, f"{self.path}/versions")
+        newest = self._newest()
         if newest is None:
             raise FileNotFoundError(f"nothing published under {self.path}")
-        return self.spark.read.parquet(newest[1])
+        schema = StructType.fromJson(newest[1]["schema"])
+        return self.spark.read.schema(schema).parquet(newest[1]["folder"]).select(*[quoted(c) for c in schema.names])
+
+    def report(self) -> DataFrame:
+        """One row per version and rule (one without a rule for a version without any): what was recorded with it."""
+        body = F.from_json("body", "comment string, tags map<string,string>, checked bigint, kept bigint, "
+                                   "rules array<struct<rule:string,action:string,broken:bigint>>")
+        records = self.spark.read.schema(RECORD).json(f"{self.path}/versions").select("version", body.alias("b"))
+        return (records.select("version", "b.comment", F.col("b.tags")["quality"].alias("quality"), "b.checked", "b.kept",
+                               F.explode_outer("b.rules").alias("r"))
+                       .select("version", "comment", "quality", "checked", "kept", "r.rule", "r.action", "r.broken"))
