@@ -85,8 +85,24 @@ def test_one_failure_does_not_stop_the_rest():
     done = []
     def boom():
         raise ValueError("no data")
-    report = run_each({"a": lambda: done.append("a"), "b": boom, "c": lambda: done.append("c")})
-    assert done == ["a", "c"] and report == {"a": "ok", "b": "failed: ValueError: no data", "c": "ok"}
+    for at_once in (1, 3):
+        done.clear()
+        report = run_each({"a": lambda: done.append("a"), "b": boom, "c": lambda: done.append("c")}, at_once)
+        assert sorted(done) == ["a", "c"] and report == {"a": "ok", "b": "failed: ValueError: no data", "c": "ok"}
+        assert list(report) == ["a", "b", "c"]
+
+
+def test_a_prepared_dimension_is_stored_once_for_all_roles(spark, rows, monkeypatch):
+    from touchline.operators import enrich
+    stored = []
+    monkeypatch.setattr(enrich, "freeze", lambda df, keep=enrich.freeze: stored.append(1) or keep(df))
+    df = spark.createDataFrame([("a", "b"), ("b", "z"), (None, "a")], "k string, o string")
+    names = spark.createDataFrame([("a", "A"), ("b", "B")], "n string, master string")
+    for limits in ((10**9, 10), (0, 10), (0, 0)):
+        stored.clear()
+        got = enrich.lookup_roles(df, names, {"k": "team", "o": "opponent"}, "n", "master", *limits)
+        assert rows(got) == [(None, "a", None, "A"), ("a", "b", "A", "B"), ("b", "z", "B", None)]
+        assert len(stored) == 1
 
 
 def test_views_are_filtered_and_pruned_at_the_scan(spark):
@@ -99,8 +115,8 @@ def test_views_are_filtered_and_pruned_at_the_scan(spark):
 
 def test_registered_views_open_the_folders_they_ask_for(spark):
     """The tables behind the views are laid out by league and season, and a view's filters choose folders."""
-    from touchline.queries.views import totals
-    table = totals(spark, "/root/testdata/sf0.001")
+    from touchline.queries.views import served_totals
+    table = served_totals(spark, "/root/testdata/sf0.001")
     league, season = table.select("League", "Season").first()
     for view, filters in ((views.league_table(table, league, season), ("League", "Season")),
                           (views.combined_table(table, season), ("Season",)), (views.historic_table(table, league), ("League",))):

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.outcomes import DECIDED_MARGIN, expected_result, match_result, result_points
-from touchline.operators.skew import MAX_BROADCAST_BYTES, MAX_GROUP_ROWS, attach
+from touchline.operators.columns import quoted
+from touchline.operators.skew import MAX_BROADCAST_BYTES, MAX_GROUP_ROWS, attach, broadcast_if_small, join_by_key
+from touchline.session import freeze
 
 
 def to_sides(df: DataFrame, keep: Sequence[str], home: Mapping[str, str | Column],
@@ -64,15 +67,48 @@ def unique_dimension(dim: DataFrame, key: str, value: str) -> DataFrame:
                                 .otherwise(clash.cast(dim.schema[value].dataType)).alias(value))
 
 
+@dataclass(frozen=True)
+class Dimension:
+    """A dimension with a unique key, checked, stored and measured once for all the roles it plays."""
+
+    rows: DataFrame
+    key: str
+    value: str
+    small: bool
+
+    @classmethod
+    def prepare(cls, dim: DataFrame, key: str, value: str, max_bytes: int = MAX_BROADCAST_BYTES) -> Dimension:
+        """Raises if a key comes up twice; rows without a key are left out."""
+        stored = freeze(unique_dimension(dim, key, value).select(F.col(key).alias("_dim_key"), F.col(value).alias("_dim_value")))
+        rows, small = broadcast_if_small(stored, max_bytes)
+        return cls(rows, "_dim_key", "_dim_value", small)
+
+    def attach(self, df: DataFrame, key: str, out: str, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+        """Left lookup of `key` in the dimension as column `out`.
+
+        The dimension is broadcast only if its measured size allows it; a larger one is joined by shuffle with the hot keys
+        of `df` set apart.
+        """
+        if self.small:
+            found = df.join(self.rows, quoted(key) == F.col(self.key), "left")
+            return found.select(*[quoted(c) for c in df.columns], F.col(self.value).alias(out))
+        side = self.rows.select(F.col(self.key).alias(key), F.col(self.value).alias(out))
+        return join_by_key(df, side, [key], max_group_rows)
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str, out: str,
            max_bytes: int = MAX_BROADCAST_BYTES, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Left lookup of one value in a dimension with a unique key.
+    """Left lookup of one value in a dimension with a unique key; several roles of one dimension: `lookup_roles`."""
+    return lookup_roles(df, dim, {key: out}, dim_key, value, max_bytes, max_group_rows)
 
-    The dimension is broadcast only below `max_bytes`; a larger one is joined by
-    shuffle with the hot keys of `df` set apart.
-    """
-    side = unique_dimension(dim, dim_key, value).select(F.col(dim_key).alias(key), F.col(value).alias(out))
-    return attach(df, side, [key], max_bytes, max_group_rows)
+
+def lookup_roles(df: DataFrame, dim: DataFrame, roles: Mapping[str, str], dim_key: str, value: str,
+                 max_bytes: int = MAX_BROADCAST_BYTES, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Left lookups of several columns (column to output) in one dimension, which is prepared once."""
+    dimension = Dimension.prepare(dim, dim_key, value, max_bytes)
+    for key, out in roles.items():
+        df = dimension.attach(df, key, out, max_group_rows)
+    return df
 
 
 def outcome_columns(df: DataFrame, scored: str = "goals", conceded: str = "goals_allowed",

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from touchline.functions.text import extract_id, infer_label, joined_id, tiered_code
 from touchline.operators import matching
 from touchline.operators.cdc import latest_per_key, one_per_key
-from touchline.operators.enrich import fill_from_group, lookup
+from touchline.operators.enrich import fill_from_group, lookup_roles
 from touchline.operators.serving import semi_filter
 from touchline.plans import bridge
+from touchline.plans.silver import standard_rows
 from touchline.queries import sql
 from touchline.queries.registry import query
 
@@ -54,8 +55,7 @@ FROM csides LEFT JOIN customer t ON team = t.c_custkey LEFT JOIN customer o ON o
 def dimension_two_roles(spark, sf_dir):
     names = bridge.table(spark, sf_dir, "customer")
     sides = bridge.customer_sides(spark, sf_dir).select("game_team_id", "team", "opponent")
-    sides = lookup(sides, names, "team", "c_custkey", "c_name", "master_team_name")
-    sides = lookup(sides, names, "opponent", "c_custkey", "c_name", "master_opp_name")
+    sides = lookup_roles(sides, names, {"team": "master_team_name", "opponent": "master_opp_name"}, "c_custkey", "c_name")
     return sides.select("game_team_id", "master_team_name", "master_opp_name")
 
 
@@ -170,3 +170,17 @@ def crowded_match_join(spark, sf_dir):
     matched = matching.best_match_join(left, right, ["team", "opponent"], "venue", "date",
                                        "matched_id", ["matched_id"])
     return matched.select("o_orderkey", "matched_id")
+
+
+@query("one_season_rows", f"""
+WITH {sql.NATION_RESULTS}
+SELECT result_team_id, season, league, team, venue FROM res WHERE season = (SELECT max(season) FROM res)""")
+def one_season_rows(spark, sf_dir):
+    """The cleaned rows of a run that is restricted to one season."""
+    rows = bridge.nation_matches(spark, sf_dir)
+    newest = rows.filter("match_report IS NOT NULL").agg(F.max("season")).first()[0]
+    texts = {c: F.lit(None).cast("string") for c in ("Formation", "Opp Formation", "_rescued_data", "source_file")}
+    bronze = rows.select("league", "season", "team", "opponent", "venue", "date", "match_report").withColumns({
+        "GF": F.lit(1), "GA": F.lit(1), "xG": F.lit(1.0), "xGA": F.lit(1.0), "Poss": F.lit(50.0), **texts,
+        "ingestion_date": F.lit("2001-09-01"), "file_modification_time": F.lit(None).cast("timestamp")})
+    return standard_rows(bronze, season=newest).select("result_team_id", "season", "league", "team", "venue")

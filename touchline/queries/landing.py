@@ -1,20 +1,24 @@
 """Files in and out: snapshots, drift, streams and a full run."""
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.cdc import latest_per_key
 from touchline.operators.enrich import to_sides
 from touchline.operators.recency import recent_rows
 from touchline.plans import bridge
-from touchline.plans.catalogue import Layout
+from touchline.plans.bronze import run_bronze
+from touchline.plans.catalogue import ADVANCED_FOLDER, BRONZE_FOLDERS, LEAGUES, MATCH_STATS, SHOTS_FOLDER, Layout, match_folder
+from touchline.plans.land import land_all
 from touchline.plans.pipeline import read_gold, run_pipeline, run_report
 from touchline.queries import sql
 from touchline.queries.conforming import LATEST_EVENT
 from touchline.queries.registry import query
 from touchline.session import scratch_dir
-from touchline.sinks.tables import Published, write_clustered, write_snapshot
+from touchline.sinks.tables import Published, audited, write_clustered, write_snapshot
 from touchline.sources.landing import read_newest, scan_landing
 from touchline.streaming.current import CurrentTable, read_batches, running_latest, write_batches
 from touchline.streaming.ingest import append_stream, ingest_files, read_ingested
@@ -278,3 +282,64 @@ def full_run_rule_counts(spark, sf_dir):
     """What a run over games without dates and leagues recorded: rows checked, kept and breaking each rule."""
     report = run_report(spark, full_run(spark, sf_dir, broken=True))
     return report.filter("rule IS NOT NULL AND comment <> ''").select("table", "quality", "rule", "action", "checked", "kept", "broken")
+
+
+@query("catalogue_landing", """
+SELECT folder, CASE WHEN folder = 'match_team_misc' THEN 'failed' ELSE 'ok' END AS landed,
+       CAST(CASE WHEN folder <> 'match_team_misc' THEN n END AS BIGINT) AS n_rows, CAST(CASE WHEN folder <> 'match_team_misc' THEN total END AS BIGINT) AS total
+FROM (SELECT CASE o_orderkey % 11 WHEN 0 THEN 'match_team_schedule' WHEN 1 THEN 'match_team_keeper' WHEN 2 THEN 'match_team_passing'
+             WHEN 3 THEN 'match_team_passing_types' WHEN 4 THEN 'match_team_defense' WHEN 5 THEN 'match_team_possession'
+             WHEN 6 THEN 'match_team_misc' WHEN 7 THEN 'match_team_shooting' WHEN 8 THEN 'match_team_goal_shot_creation'
+             WHEN 9 THEN 'match_individual_shots' ELSE 'match_team_stats_understat' END AS folder,
+             count(*) AS n, sum(o_custkey) AS total
+      FROM orders GROUP BY 1)""")
+def catalogue_landing(spark, sf_dir):
+    """Eleven datasets landed and ingested by the catalogue; one of them fails and the others come through."""
+    layout = Layout(*[scratch_dir(spark, "catalogue")] * 2)
+    bronze = {folder: table for table, folder in BRONZE_FOLDERS.items()}
+    folders = [*[match_folder(s) for s in MATCH_STATS], SHOTS_FOLDER, ADVANCED_FOLDER]
+    order = ["schedule", "keeper", "passing", "passing_types", "defense", "possession", "misc", "shooting", "goal_shot_creation"]
+    share = {match_folder(s): i for i, s in enumerate(order)} | {SHOTS_FOLDER: 9, ADVANCED_FOLDER: 10}
+
+    def raw(folder):
+        rows = orders(spark, sf_dir).filter(F.col("o_orderkey") % 11 == share[folder])
+        season = bridge.season_of(F.col("o_orderdate"))
+        rows = rows.select(F.lit(LEAGUES[0]).alias("league"), season.alias("season"), F.col("o_orderdate").alias("date"),
+                           F.struct(F.col("o_custkey").cast("string").alias("value")).alias("stat"), F.lit("7").alias("minute"))
+        if folder == "match_team_misc":
+            return rows.withColumn("stat", F.raise_error(F.lit("the provider sent no page")))
+        return rows.withColumn("stat", F.col("stat.value")) if folder == ADVANCED_FOLDER else rows
+    landed = land_all({f: lambda f=f: raw(f) for f in folders}, layout.landing, "2001-09-01", LEAGUES)
+    run_bronze(spark, layout, [bronze[f] for f in folders if landed[f] == "ok"])
+
+    def ingested(folder):
+        table = bronze[folder]
+        rows = read_ingested(spark, layout.table(table), layout.schema(table))
+        value = F.col("stat" if folder == ADVANCED_FOLDER else "stat_value").cast("bigint")
+        return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(value).alias("total")).select(
+            F.lit(folder).alias("folder"), F.lit("ok").alias("landed"), "n_rows", "total")
+    good = reduce(DataFrame.unionByName, [ingested(f) for f in folders if landed[f] == "ok"])
+    bad = [(f, landed[f].partition(":")[0], None, None) for f in folders if landed[f] != "ok"]
+    return good.unionByName(spark.createDataFrame(bad, "folder string, landed string, n_rows long, total long"))
+
+
+@query("season_in_path_and_file", f"""
+SELECT o_orderkey, {sql.SEASON} AS season, '2001-09-01' AS ingestion_date FROM orders""")
+def season_in_path_and_file(spark, sf_dir):
+    """Files that carry another season than the folder they lie in: the folder wins and stays text."""
+    work = scratch_dir(spark, "both")
+    rows = orders(spark, sf_dir).select("o_orderkey", bridge.season_of(F.col("o_orderdate")).alias("folder"), F.lit(1).alias("season"))
+    for season in [r[0] for r in rows.select("folder").distinct().collect()]:
+        rows.filter(F.col("folder") == season).drop("folder").write.parquet(f"{work}/in/season={season}/ingestion_date=2001-09-01")
+    ingest_files(spark, f"{work}/in", f"{work}/table", f"{work}/checkpoint", f"{work}/schema")
+    return read_ingested(spark, f"{work}/table", f"{work}/schema").select("o_orderkey", "season", "ingestion_date")
+
+
+@query("audit_column", "SELECT o_orderstatus, count(*) AS n_rows, count(*) AS n_dated, 1 AS moments FROM orders GROUP BY o_orderstatus")
+def audit_column(spark, sf_dir):
+    """The moment of a run is on every row of a published table, and it is one moment."""
+    table = Published(spark, scratch_dir(spark, "audited"))
+    table.publish(audited(orders(spark, sf_dir).repartition(8)), partition_by=["o_orderstatus"])
+    moments = F.count_distinct("update_date").cast("int")
+    return table.read().groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("update_date").alias("n_dated"), moments.alias("moments"))

@@ -14,7 +14,7 @@ from touchline.plans import bridge, views
 from touchline.plans.gold import publish_gold, rolling_stats
 from touchline.queries import sql
 from touchline.queries.registry import query
-from touchline.session import scratch_dir
+from touchline.session import freeze, scratch_dir
 from touchline.sinks.tables import Published
 
 TOTALS_SQL = f"WITH {sql.NATION_RESULTS}, tot AS ({sql.totals('res')})"
@@ -27,12 +27,25 @@ def display_list(columns, skip=()):
 
 
 def totals(spark, sf_dir):
-    """The published totals table, in folders by league and season as views read it."""
-    return publish_gold(Published(spark, scratch_dir(spark, "totals")), season_totals(bridge.nation_results(spark, sf_dir)))
+    """The stored totals table: several operators read it, so it is computed once."""
+    return freeze(season_totals(bridge.nation_results(spark, sf_dir)))
 
 
 def form(spark, sf_dir):
-    return publish_gold(Published(spark, scratch_dir(spark, "form")), last_n_form(bridge.nation_results(spark, sf_dir)))
+    return freeze(last_n_form(bridge.nation_results(spark, sf_dir)))
+
+
+def served(spark, rows):
+    """A totals table as views read it: published in folders by league and season."""
+    return publish_gold(Published(spark, scratch_dir(spark, "served")), rows)
+
+
+def served_totals(spark, sf_dir):
+    return served(spark, season_totals(bridge.nation_results(spark, sf_dir)))
+
+
+def served_form(spark, sf_dir):
+    return served(spark, last_n_form(bridge.nation_results(spark, sf_dir)))
 
 
 @query("display_projection", f"""
@@ -47,7 +60,7 @@ SELECT 'League' AS filter, "League" AS value FROM (SELECT DISTINCT "League" FROM
 UNION ALL SELECT 'Season', "Season" FROM (SELECT DISTINCT "Season" FROM tot)
 UNION ALL SELECT 'Team', "Team" FROM (SELECT DISTINCT "Team" FROM tot)""")
 def distinct_filter_values(spark, sf_dir):
-    table = totals(spark, sf_dir)
+    table = served_totals(spark, sf_dir)
     lists = [distinct_values(table, c, c == "Season").select(F.lit(c).alias("filter"), F.col(c).alias("value"))
              for c in ("League", "Season", "Team")]
     return reduce(DataFrame.unionByName, lists)
@@ -69,7 +82,7 @@ SELECT row_number() OVER (ORDER BY "Points" DESC NULLS LAST, "Team") AS "Positio
        {display_list(views.LEAGUE_ORDER, ("Position",))}
 FROM tot WHERE "League" = 'ASIA' AND "Season" = '2019/20'""")
 def league_table_view(spark, sf_dir):
-    return views.league_table(totals(spark, sf_dir), "ASIA", "2019/20")
+    return views.league_table(served_totals(spark, sf_dir), "ASIA", "2019/20")
 
 
 @query("form_table_position", f"""
@@ -99,7 +112,7 @@ SELECT row_number() OVER (ORDER BY "PPG" DESC NULLS LAST, "Team", "League") AS "
        {display_list(views.COMBINED_ORDER, ("Position",))}
 FROM form""")
 def combined_form_table(spark, sf_dir):
-    return views.combined_table(form(spark, sf_dir), None)
+    return views.combined_table(served_form(spark, sf_dir), None)
 
 
 @query("historic_table", f"""
@@ -108,7 +121,7 @@ SELECT row_number() OVER (ORDER BY "PPG" DESC NULLS LAST, "Team", "Season", "Lea
        {display_list(views.HISTORIC_ORDER, ("Position",))}
 FROM tot""")
 def historic_table(spark, sf_dir):
-    return views.historic_table(totals(spark, sf_dir))
+    return views.historic_table(served_totals(spark, sf_dir))
 
 
 @query("order_position_whole_table", """
@@ -243,3 +256,15 @@ def trend_of_view_teams(spark, sf_dir):
     results = bridge.nation_results(spark, sf_dir)
     shown = views.view(last_n_form(results), league="EUROPE")
     return semi_filter(rolling_stats(results), shown, ["Team"]).select("Team", "Season", "Match_No", "GD_PG")
+
+
+METRICS = [c for c in views.STATS_ORDER if c != "MP"]
+
+
+@query("plot_metrics", f"{TOTALS_SQL} " + " UNION ALL ".join(
+    f"""SELECT "Team", "Season", '{c}' AS metric, CAST("{c.replace(' ', '_')}" AS DOUBLE) AS value FROM tot""" for c in METRICS))
+def plot_metrics(spark, sf_dir):
+    """Every column that a chart may show, as all columns but the listed ones, in long form."""
+    table = display_names(totals(spark, sf_dir))
+    metrics = [F.col(f"`{c}`").cast("double").alias(c) for c in views.plot_choices(table)]
+    return table.select("Team", "Season", *metrics).unpivot(["Team", "Season"], views.plot_choices(table), "metric", "value")
