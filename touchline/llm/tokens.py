@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import sys
 import uuid
@@ -25,7 +26,11 @@ HEADER = "<8sQQQBB6x"
 #: One select sample for so many set bits.
 SAMPLE = 64
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS, WORDS_AT_ONCE = 250_000, 5_000
+CACHE_WORDS, WORDS_AT_ONCE = 500_000, 50_000
+#: Text that makes one file, about.
+SHARD_TEXT_BYTES = 64 << 20
+#: Letters that punctuation ends: the pre-tokenizer cuts between them, so both are looked up by themselves.
+TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]+)").fullmatch
 
 
 class EliasFano:
@@ -120,7 +125,7 @@ class Encoder:
 
     The pre-tokenizer ends every piece before a space and puts a single line feed on its own. So texts whose only white
     space are single spaces and line feeds are looked up word by word. Words not seen yet are encoded together, one to a
-    line. Texts with other white space are encoded whole. With `added_tokens` the text of an added token (such as
+    line, letters apart from the punctuation behind them. Texts with other white space are encoded whole. With `added_tokens` the text of an added token (such as
     <|endoftext|>) becomes its id, as the library does by default, and texts that hold one are encoded whole, too; without
     it special tokens are text like any other.
     """
@@ -138,23 +143,34 @@ class Encoder:
         #: lately, and those used before them.
         worker = sys.modules.setdefault("touchline_words", ModuleType("touchline_words")).__dict__
         self.known = worker.setdefault((path, item), [[{}, {}], [{}, {}]])
+        self.tails: dict[str, bytes] = {}
 
     def fresh(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def learn(self, words: set[str], spaced: int) -> None:
         known, before = self.known[spaced]
-        new = words - known.keys()
-        old = new & before.keys()
-        known.update((w, before[w]) for w in old)
-        new = list(new - old)
-        for at in range(0, len(new), WORDS_AT_ONCE):
-            some = new[at:at + WORDS_AT_ONCE]
+
+        def missing(some: set[str]) -> set[str]:
+            some = some - known.keys()
+            old = some & before.keys()
+            known.update((w, before[w]) for w in old)
+            return some - old
+        new = missing(words)
+        tailed = {w: m.groups() for w in new if (m := TAILED(w))}
+        self.look_up(list(missing({letters for letters, _ in tailed.values()} | (new - tailed.keys()))), known, spaced)
+        self.look_up(list({tail for _, tail in tailed.values()} - self.tails.keys()), self.tails, 0)
+        known.update((w, known[letters] + self.tails[tail]) for w, (letters, tail) in tailed.items())
+
+    def look_up(self, words: list[str], into: dict[str, bytes], spaced: int) -> None:
+        """Ids of words by the library, one word to a line."""
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            some = words[at:at + WORDS_AT_ONCE]
             ids = np.array(self.fresh("\n".join([" " + w for w in some] if spaced else some)), self.kind)
             cut = np.flatnonzero(ids == self.line[0])
             data, size = ids.tobytes(), ids.itemsize
-            for w, start, end in zip(some, [0, *(size * (cut + 1)).tolist()], [*(size * cut).tolist(), len(data)]):
-                known[w] = data[start:end]
+            for w, start, end in zip(some, [0, *(size * (cut + 1)).tolist()], [*(size * cut).tolist(), len(data)], strict=True):
+                into[w] = data[start:end]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         for words in self.known:
@@ -185,8 +201,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
                  end_id: int = 0, id_bytes: int = 2, added_tokens: bool = False) -> DataFrame:
     """Write the ids of all texts in ascending key order; return the manifest: shard, path, docs, ids.
 
-    The rows are dealt out by key ranges, so shard k holds keys before those of shard k + 1 and no task sees more than
-    its range. Each text is followed by `end_id`; NULL texts are empty; NULL keys come first; rows with equal keys are
+    The rows are dealt out by ranges of key and text, so shard k holds keys before those of shard k + 1 and no task sees more
+    than its range; there are as many ranges as the measured length of all texts asks for. Each text is followed by `end_id`; NULL texts are empty; NULL keys come first; rows with equal keys are
     in the order of their texts. Every attempt of a task writes a file of its own and the manifest names the one that
     counted, so lost executors leave unused files at most. An empty table has an empty manifest. With `added_tokens` texts
     of added tokens become their ids.
@@ -214,7 +230,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
 
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    ranged = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id").sortWithinPartitions("id", "text")
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_TEXT_BYTES))
+    # The first characters of the text part the rows of one key and do not contradict the order of whole texts.
+    ranged = rows.repartitionByRange(shards, "id", F.substring("text", 1, 32)).sortWithinPartitions("id", "text")
     written = ranged.mapInArrow(run, "shard long, path string, docs long, ids long").collect()  # one row per file
     return spark.createDataFrame(sorted(written), "shard long, path string, docs long, ids long").coalesce(1) if written else \
         spark.createDataFrame([], "shard long, path string, docs long, ids long")
