@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import sys
-import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +23,7 @@ LATTICE_CHARS = 60
 HOT_UNITS = 1_500_000
 CACHE_WORDS, COUNT_AT_ONCE = 150_000, 300_000
 #: Text looked up at once: words that recur in it are cut and looked up once.
-TEXT_AT_ONCE = 6 << 20
+TEXT_AT_ONCE = 3 << 20
 
 
 @dataclass
@@ -76,12 +73,11 @@ def load(path: str) -> Vocabulary:
 
 
 class Cutter:
-    """Texts to words (a space mark and what follows it), words to units, remembering words for later tasks."""
+    """Texts to words (a space mark and what follows it), words to units; what it remembers goes with its task."""
 
-    def __init__(self, pairs: set[str], memory: str):
+    def __init__(self, pairs: set[str]):
         self.pairs = pairs
-        worker = sys.modules.setdefault("touchline_units", ModuleType("touchline_units")).__dict__
-        self.known: list[dict[str, tuple[str, ...]]] = worker.setdefault((memory, hash(frozenset(pairs))), [{}, {}])
+        self.known: list[dict[str, tuple[str, ...]]] = [{}, {}]
 
     def words(self, text: str) -> list[str]:
         """What stands between single spaces, the space mark left out; runs of spaces stay in front of their word."""
@@ -120,7 +116,7 @@ def count_units(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
     pairs = vocabulary.pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, counts = Cutter(pairs, "count"), {}
+        cutter, counts = Cutter(pairs), {}
 
         def flush():
             out = pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], ["unit", "n"])
@@ -356,11 +352,10 @@ def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
 class Assembler:
     """Texts to ids with the hot units and the rare ones of each text."""
 
-    def __init__(self, hot: Hot, pairs: set[str], memory: str):
-        self.hot, self.cutter = hot, Cutter(pairs, memory)
-        worker = sys.modules.setdefault("touchline_units", ModuleType("touchline_units")).__dict__
+    def __init__(self, hot: Hot, pairs: set[str]):
+        self.hot, self.cutter = hot, Cutter(pairs)
         #: Ids of words used lately and before; None for a word with rare units.
-        self.known: list[dict[str, bytes | None]] = worker.setdefault(f"{memory} ids", [{}, {}])
+        self.known: list[dict[str, bytes | None]] = [{}, {}]
 
     def learn(self, words: set[str]) -> dict[str, bytes | None]:
         """Ids of these words and others."""
@@ -430,23 +425,27 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     table = encode_units(rows, vocabulary)
     frequent = hot_units(table)
     hot = spark.sparkContext.broadcast((frequent.hash, frequent.check, frequent.ends, frequent.ids))
-    pairs, texts, memory = vocabulary.pairs, vocabulary.texts(), f"units {uuid.uuid4().hex}"
+    pairs, texts = vocabulary.pairs, vocabulary.texts()
     decode = decoder(texts)
 
     def scarce(batches):
-        maker = Assembler(Hot(*hot.value), pairs, memory)
+        maker = Assembler(Hot(*hot.value), pairs)
         for part in slices(batches, "text", TEXT_AT_ONCE):
             column = part.column("text").to_pylist()
             found = [(text_key(t), u) for t, units in zip(column, maker.rare(column)) for u in units]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([u for _, u in found])], ["text_hash", "unit"])
 
-    seen = rows.select("text").mapInArrow(scarce, "text_hash long, unit string").join(table.select("unit", "ids"), "unit")
-    seen = seen.dropDuplicates(["text_hash", "unit"]).groupBy("text_hash").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
-    joined = rows.withColumn("text_hash", F.xxhash64("text")).join(seen.hint("shuffle_hash"), "text_hash", "left").select("id", "text", "rare")
+    if len(frequent.hash) == table.count():
+        # The tasks have all units there are, so no text lacks one.
+        joined = rows.withColumn("rare", F.lit(None).cast("array<struct<unit:string,ids:array<int>>>"))
+    else:
+        seen = rows.select("text").mapInArrow(scarce, "text_hash long, unit string").join(table.select("unit", "ids"), "unit")
+        seen = seen.dropDuplicates(["text_hash", "unit"]).groupBy("text_hash").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
+        joined = rows.withColumn("text_hash", F.xxhash64("text")).join(seen, "text_hash", "left").select("id", "text", "rare")
 
     def put_together(batches):
-        maker = Assembler(Hot(*hot.value), pairs, memory)
+        maker = Assembler(Hot(*hot.value), pairs)
         for part in slices(batches, "text", TEXT_AT_ONCE):
             column = part.column("text").to_pylist()
             rare = [{r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in x or ()} for x in part.column("rare").to_pylist()]
