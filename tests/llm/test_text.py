@@ -266,3 +266,37 @@ def test_subsequence():
                 best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
         got = leaks.subsequence(leaks.places_of(a), len(a), b)
         assert got == best[-1][-1] and leaks.subsequence(leaks.places_of(a), len(a), b, got) == got
+
+
+ARTICLE = "<p>Some body text of the article.</p>"
+KEPT_PAGES = [
+    f"<article style='overflow:hidden'>{ARTICLE}</article>", f"<article class='overflow-hidden'>{ARTICLE}</article>",
+    f"<article aria-hidden='false'>{ARTICLE}</article>", f"<div class='content has-sidebar'>{ARTICLE}</div>",
+    f"<div class='content no-sidebar'><article>{ARTICLE}</article></div>", f"<div class='post comments-open'>{ARTICLE}</div>",
+    f"<div id='social-science-101'>{ARTICLE}</div>", f"<main>{ARTICLE}</main><article class=card>teaser</article>",
+    f"<div>{ARTICLE}{ARTICLE}</div><article class=card>teaser</article>", f"<div class=modal>{ARTICLE}</div>",
+]
+
+
+@pytest.mark.parametrize("page", KEPT_PAGES)
+def test_no_article_is_dropped_for_a_name(page):
+    assert "Some body text of the article." in pages.main_text(pages.parse(f"<html><body>{page}</body></html>"), [])
+
+
+def test_main_keeps_its_title_and_sides_stay_out():
+    def text(body):
+        return pages.main_text(pages.parse(f"<body>{body}</body>"), [])
+    assert text(f"<main><h1>Title</h1><article>{ARTICLE}</article></main>") == "Title\nSome body text of the article."
+    assert text(f"<main>{ARTICLE}</main><article class=card>teaser</article>") == "Some body text of the article."
+    for name in ("sidebar", "site-footer", "cookie-banner", "main-nav", "ad-slot", "social-share", "related-posts", "commentList", "newsletter_form"):
+        assert text(f"<article>{ARTICLE}</article><div class='{name}'>beside</div>") == "Some body text of the article.", name
+    for side in ("hidden", "aria-hidden=true", "style='display: none'"):
+        assert text(f"<article>{ARTICLE}<p {side}>beside</p></article>") == "Some body text of the article.", side
+
+
+def test_broken_markup_is_read_in_linear_time():
+    import time
+    for page in ("<a " * 340_000, "<div>" * 100_000 + "</span>" * 100_000, "<select>" * 100_000, "<![CDATA[" * 100_000, "<p><div>" * 100_000, "<! " * 300_000):
+        start = time.time()
+        pages.parse(page)
+        assert time.time() - start < 4, page[:10]
