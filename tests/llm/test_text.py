@@ -300,3 +300,12 @@ def test_broken_markup_is_read_in_linear_time():
         start = time.time()
         pages.parse(page)
         assert time.time() - start < 4, page[:10]
+
+
+def test_leaks_of_items_that_share_an_id(spark):
+    rng = random.Random(12)
+    texts = [sentence(rng, 30) for _ in range(8)]
+    bench = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (4, texts[4]), (5, texts[4])], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"{sentence(rng, 40)} {t} {sentence(rng, 40)}") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = [(r["doc_id"], r["item_id"]) for r in leaks.leaks(docs, bench).collect()]
+    assert sorted(got, key=str) == sorted([(0, 1), (1, 1), (2, None), (3, None), (4, 4), (4, 5)], key=str)

@@ -167,7 +167,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     either side as many of the item's rarest words as every leak must have; so no leak depends on the latent space, the
     number of items or their length. A document leaks an item with LEAK of its words, or with PARAPHRASE of
     them and ANSWER of its answer. Words are runs of letters and digits, so that case and punctuation do not matter. One
-    row per document and item, the best window. NULL, empty and wordless texts and items match nothing; items of fewer
+    row per document and item, the best window. Texts that share an item's id (or have none) are searched one by one and
+    reported under it; equal texts are searched once and reported under each of their ids. NULL, empty and wordless texts and items match nothing; items of fewer
     words than a block are searched in windows of one. NULL keys stay NULL. Empty tables give no rows.
     """
     spark = docs.sparkSession
@@ -175,6 +176,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     counts, n_docs = document_frequency(texts)
     idf = np.log((n_docs + 1) / (counts + 1)) + 1e-3
     length = BLOCK * WINDOWS[-1]
+    ids = benchmark.select(F.col(item).alias("item_id"), F.xxhash64(F.col(item_text)).alias("item"), F.col(item_text).alias("text"))
+    ids = ids.filter(F.col("text").isNotNull())
+    benchmark, item, item_text = ids.select("item", "text").dropDuplicates(["item"]), "item", "text"
     passages = stored(cut_items(benchmark, item, item_text, length), "passages")
     n = passages.count()
     if not n or not n_docs:
@@ -193,7 +197,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
                                 "id long, item long, cosine double, common double, answer double")
         found = hits if found is None else found.unionByName(hits)
     best = found.groupBy("id", "item").agg(F.max(F.struct("common", "answer", "cosine")).alias("b"))
-    return best.select(F.col("id").alias(key), F.col("item").alias("item_id"), "b.cosine", "b.common", "b.answer")
+    best = best.join(ids.select("item_id", "item").distinct(), "item").groupBy("id", "item_id").agg(F.max("b").alias("b"))
+    return best.select(F.col("id").alias(key), "item_id", "b.cosine", "b.common", "b.answer")
 
 
 class Rare:
