@@ -8,7 +8,6 @@ import sys
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 from types import ModuleType
 
 import numpy as np
@@ -27,11 +26,16 @@ HEADER = "<8sQQQBB6x"
 SAMPLE = 64
 #: Words whose ids a worker remembers before it starts anew.
 CACHE_WORDS, WORDS_AT_ONCE = 500_000, 50_000
+#: Text encoded at once: words that recur in it are looked up once.
+TEXT_AT_ONCE = 12 << 20
 #: Text that makes one file, about.
 SHARD_TEXT_BYTES = 64 << 20
 #: Letters that punctuation ends: the pre-tokenizer cuts between them, so both are looked up by themselves.
 TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]+)").fullmatch
 
+#: White space other than single spaces and line feeds between words.
+ODD_SPACES = "[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|[ \n][ \n]|^[ \n]|[ \n]$"
+
 
 class EliasFano:
     """A non-decreasing sequence of n integers below 2^63 in about 2 + log2(max / n) bits each, with select."""
@@ -176,21 +180,51 @@ class Encoder:
         for words in self.known:
             if len(words[0]) > CACHE_WORDS:
                 words[:] = {}, words[0]
-        split = [[x.split(" ") for x in t.split("\n")] if t and plain_spaces(t) and not any(a in t for a in self.added) else None
-                 for t in texts]
-        lines = [x for t in split if t for x in t]
-        self.learn({x[0] for x in lines}, 0)
-        self.learn(set(chain.from_iterable([x[1:] for x in lines])), 1)
-        (first, _), (later, _) = self.known
-        feed = self.line.tobytes()
-        return [feed.join([first[x[0]] + b"".join([later[w] for w in x[1:]]) for x in t]) if t else
-                np.array(self.fresh(text), self.kind).tobytes() if text else b"" for text, t in zip(texts, split)]
-
-
-def plain_spaces(text: str) -> bool:
-    """Whether the only white space is single spaces and line feeds between words."""
-    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text) \
-        and len(text.split()) == text.count(" ") + text.count("\n") + 1
+        column = pa.array(texts, pa.large_string())
+        plain = pa.compute.and_(pa.compute.not_equal(column, ""), pa.compute.invert(pa.compute.match_substring_regex(column, ODD_SPACES)))
+        plain = [bool(p) and not any(a in t for a in self.added) for t, p in zip(texts, plain.to_pylist())]
+        by_words = iter(self.by_words(column.filter(pa.array(plain, pa.bool_()))))
+        return [next(by_words) if p else np.array(self.fresh(t), self.kind).tobytes() if t else b"" for t, p in zip(texts, plain)]
+
+    def by_words(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts with plain spaces: distinct words are looked up once, then their ids are gathered in text order."""
+        if not len(texts):
+            return []
+        lines = pa.compute.split_pattern(texts, "\n")
+        words = pa.compute.split_pattern(lines.flatten(), " ")
+        text_lines, line_words = lines.offsets.to_numpy(), words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
+        distinct, place = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # A word behind a space has the number of the distinct word, one at the start of a line that plus their count.
+        place[line_words[:-1]] += len(distinct)
+        used = np.zeros(2 * len(distinct) + 1, bool)
+        used[place] = True
+        ids: list[bytes] = []
+        for spaced, some in ((1, used[:len(distinct)]), (0, used[len(distinct):-1])):
+            names = distinct.filter(pa.array(some)).to_numpy(zero_copy_only=False).tolist()
+            got = list(map(self.known[spaced][0].get, names))
+            if new := {w for w, x in zip(names, got) if x is None}:
+                self.learn(new, spaced)
+                got = map(self.known[spaced][0].__getitem__, names)
+            ids += got
+        ids.append(self.line.tobytes())
+        used[-1] = True
+        # The line feed goes before every line but the first of a text.
+        inner = np.ones(len(line_words) - 1, bool)
+        inner[text_lines[:-1]] = False
+        number = np.cumsum(used) - 1
+        order = number[np.insert(place, line_words[:-1][inner], len(used) - 1)]
+        feeds = np.concatenate([[0], np.cumsum(inner)])
+        cuts = line_words[text_lines] + feeds[text_lines]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.line.itemsize
+        pool, first = np.frombuffer(b"".join(ids), self.kind), np.concatenate([[0], np.cumsum(size)])[:-1]
+        many = size[order]
+        stop = np.cumsum(many)
+        place = np.repeat(first[order] - (stop - many), many)
+        place += np.arange(stop[-1])
+        out = pool[place].tobytes()
+        ends = self.line.itemsize * np.concatenate([[0], stop])[cuts]
+        return [out[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
@@ -212,7 +246,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str | None = None, ke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, keys, known, lengths, parts = Encoder(vocabulary, id_bytes, added_tokens), [], [], [], []
         end = np.array([end_id], f"<u{id_bytes}").tobytes()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", TEXT_AT_ONCE):
             keys.append(part.column("id").fill_null(0).to_numpy())
             known.append(part.column("id").is_valid().to_numpy(zero_copy_only=False))
             for ids in encode(part.column("text").to_pylist()):
