@@ -84,6 +84,44 @@ def test_pieces_equal_the_library(spark, monkeypatch, hot):
         assert pieces.encode(frame.limit(0), path).count() == 0
 
 
+def test_units_are_cut_where_no_piece_goes_on():
+    import pyarrow as pa
+    rng = random.Random(5)
+    pairs = {"▁a", "▁▁", "ab", "é日", "\U0001f600b", "b\n"}
+    texts = ["".join(rng.choices("ab é日\U0001f600\nz▁", k=rng.randint(0, 12))) for _ in range(300)] + [None, "", " ", "  "]
+    want = []
+    for t in texts:
+        marked = "▁" + t.replace(" ", "▁") if t else ""
+        cuts = [i for i in range(len(marked)) if not i or marked[i - 1:i + 1] not in pairs]
+        want.append([marked[a:b] for a, b in zip(cuts, [*cuts[1:], len(marked)])])
+    units, starts = pieces.Cutter(pairs)(pa.array(texts).slice(0))
+    got = units.to_pylist()
+    assert [got[a:b] for a, b in zip(starts[:-1], starts[1:])] == want
+    units, starts = pieces.Cutter(set())(pa.array(texts[5:9], pa.string()))
+    assert units.to_pylist() == list("".join("▁" + t.replace(" ", "▁") if t else "" for t in texts[5:9])) and starts[-1] == len(units)
+    units, starts = pieces.Cutter(pairs)(pa.array([None, ""], pa.string()))
+    assert len(units) == 0 and starts.tolist() == [0, 0, 0]
+
+
+@pytest.mark.parametrize("hot", [0, 2, 9])
+def test_texts_are_put_together_from_hot_and_rare_units(hot):
+    import pyarrow as pa
+    ids = {"▁a": [5, 0], "▁b": [0], "▁": [7], "▁c": [], "z": [0, 0]}
+    pairs, texts = {"▁a", "▁b", "▁c"}, ["a b", None, "", "b az", "c", "zz b"]
+    table = [u.encode() for u in sorted(ids, key=lambda u: pieces.xxhash.xxh64_intdigest(u.encode(), 42)) if len(ids) <= hot or u in list(ids)[:hot]]
+    held = pieces.Hot(np.array([pieces.xxhash.xxh64_intdigest(u, 42) for u in table], np.uint64), np.array([zlib.crc32(u) for u in table], np.uint32),
+                      np.cumsum([0, *[len(ids[u.decode()]) for u in table]]), np.array([i for u in table for i in ids[u.decode()]], np.uint16))
+    maker, column = pieces.Assembler(held, pairs), pa.array(texts)
+    owner, rare = maker.rare(column)
+    kind = pa.list_(pa.struct([("unit", pa.string()), ("ids", pa.list_(pa.int32()))]))
+    lists = [[{"unit": u, "ids": ids[u]} for o, u in zip(owner, rare.to_pylist()) if o == k] or None for k in range(len(texts))]
+    got, ends = maker.ids(column, pa.array(lists, kind))
+    plain = [[i for u in pieces.Cutter(pairs)(pa.array([t]))[0].to_pylist() for i in ids[u]] if t else [] for t in texts]
+    assert [got[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == plain
+    got, ends = pieces.Assembler(held, pairs, 0).ids(column, pa.array(lists, kind))
+    assert [got[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [[i for k, i in enumerate(x) if i or not k or x[k - 1]] for x in plain]
+
+
 @pytest.mark.parametrize("known_bytes", [[], list(range(100, 356))])
 def test_viterbi_equals_all_segmentations(spark, known_bytes):
     rng = random.Random(3)

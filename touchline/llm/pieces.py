@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,15 +12,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.shared import slices, stored
+from touchline.llm.shared import slices, stored, text_bytes
 
 SPACE = "▁"
 #: Units up to so many characters go through the lattice, whose fold keeps their borders as the bits of a number.
 LATTICE_CHARS = 60
 #: Most frequent units that tasks hold in memory, at most (about 20 bytes each); the others are joined.
 HOT_UNITS = 1_500_000
-CACHE_WORDS, COUNT_AT_ONCE = 150_000, 300_000
-#: Text looked up at once: words that recur in it are cut and looked up once.
+#: Distinct units of some runs of text that are added up before they leave a task.
+COUNT_AT_ONCE = 300_000
+#: Text cut at once: units that recur in it are looked up once.
 TEXT_AT_ONCE = 3 << 20
 
 
@@ -73,42 +72,40 @@ def load(path: str) -> Vocabulary:
 
 
 class Cutter:
-    """Texts to words (a space mark and what follows it), words to units; what it remembers goes with its task."""
+    """Texts to units by arrays: a text with its space marks is cut where no piece has both neighbouring characters."""
 
     def __init__(self, pairs: set[str]):
-        self.pairs = pairs
-        self.known: list[dict[str, tuple[str, ...]]] = [{}, {}]
-
-    def words(self, text: str) -> list[str]:
-        """What stands between single spaces, the space mark left out; runs of spaces stay in front of their word."""
-        words = text.split(" ")
-        if "" not in words:
-            return words
-        out, run = [], 0
-        for w in words:
-            if w:
-                out.append(SPACE * run + w)
-                run = 0
-            else:
-                run += 1
-        if run:
-            out.append(SPACE * (run - 1))
-        return out
-
-    def units(self, word: str) -> tuple[str, ...]:
-        known, before = self.known
-        got = known.get(word)
-        if got is None:
-            if len(known) > CACHE_WORDS:
-                self.known[:] = {}, known
-                known, before = self.known
-            got = before.get(word)
-            if got is None:
-                text = SPACE + word
-                cuts = [0, *[i for i in range(1, len(text)) if text[i - 1:i + 1] not in self.pairs], len(text)]
-                got = tuple([text[a:b] for a, b in zip(cuts[:-1], cuts[1:])])
-            known[word] = got
-        return got
+        chars = sorted({ord(c) for p in pairs for c in p})
+        #: Number of each character that is in a pair; 0 for all others, which the last place stands for.
+        self.number = np.zeros(max(chars, default=0) + 2, np.int32)
+        self.number[chars] = np.arange(1, len(chars) + 1)
+        self.width = len(chars) + 1
+        self.pairs = np.array(sorted(self.width * int(self.number[ord(p[0])]) + int(self.number[ord(p[1])]) for p in pairs), np.int64)
+
+    def __call__(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The units of all texts one after another, and where those of each text start (NULL and empty texts have none)."""
+        some = pa.compute.not_equal(texts, "").fill_null(False)
+        marked = pa.compute.binary_join_element_wise("", pa.compute.replace_substring(texts, " ", SPACE), SPACE)
+        data, offsets = text_bytes(pa.compute.if_else(some, marked, ""))
+        chars = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        number = self.number[np.minimum(codes, len(self.number) - 1)].astype(np.int64)
+        cut = np.ones(len(chars), bool)
+        if len(codes):
+            cut[1:-1] = ~np.isin(number[:-1] * self.width + number[1:], self.pairs)
+        first = np.searchsorted(chars, offsets)
+        cut[first] = True
+        edges = np.flatnonzero(cut)
+        units = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(chars[edges].astype(np.int64)), pa.py_buffer(data.tobytes()))
+        return units, np.searchsorted(edges, first)
+
+
+def gather(pool: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of `pool` that start at `first` and have `size` items, one after another."""
+    stop = np.cumsum(size)
+    at = np.repeat(first - (stop - size), size)
+    at += np.arange(len(at))
+    return pool[at]
 
 
 def count_units(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
@@ -116,24 +113,21 @@ def count_units(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
     pairs = vocabulary.pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, counts = Cutter(pairs), {}
+        cutter, held = Cutter(pairs), []
 
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], ["unit", "n"])
-            counts.clear()
-            return out
+        def added() -> pa.RecordBatch:
+            sums = pa.concat_tables(held).group_by("unit", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+            held.clear()
+            return pa.RecordBatch.from_arrays([sums.column(x).combine_chunks().cast(kind) for x, kind in
+                                               (("unit", pa.string()), ("n_sum", pa.int64()))], ["unit", "n"])
         for part in slices(batches, "text", TEXT_AT_ONCE):
-            words = Counter()
-            for t in part.column("text").to_pylist():
-                if t:
-                    words.update(cutter.words(t))
-            for w, n in words.items():
-                for u in cutter.units(w):
-                    counts[u] = counts.get(u, 0) + n
-            if len(counts) > COUNT_AT_ONCE:
-                yield flush()
-        if counts:
-            yield flush()
+            units, _ = cutter(part.column("text"))
+            coded = units.dictionary_encode()
+            held.append(pa.table({"unit": coded.dictionary, "n": np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))}))
+            if sum(map(len, held)) > COUNT_AT_ONCE:
+                yield added()
+        if held:
+            yield added()
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
@@ -309,20 +303,16 @@ class Hot:
     ends: np.ndarray
     ids: np.ndarray
 
-    def find(self, units: list[str]) -> list[bytes | None]:
-        """The ids of each unit as 4-byte integers, None for a rare one."""
-        if not units or not len(self.hash):
-            return [None] * len(units)
-        data = [u.encode("utf-8", "surrogatepass") for u in units]
-        h = np.array([xxhash.xxh64_intdigest(x, 42) for x in data], np.uint64)
-        check = np.array([zlib.crc32(x) for x in data], np.uint32)
+    def find(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each unit is here, where its ids start and how many there are."""
+        if not len(units) or not len(self.hash):
+            return (np.zeros(len(units), bool), *np.zeros((2, len(units)), np.int64))
+        data = units.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        h = np.frombuffer(b"".join([xxhash.xxh64_digest(x, 42) for x in data]), ">u8").astype(np.uint64)
+        check = np.fromiter(map(zlib.crc32, data), np.uint32, len(data))
         at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
         known = (self.hash[at] == h) & (self.check[at] == check)
-        size = np.where(known, self.ends[at + 1] - self.ends[at], 0)
-        stops = np.cumsum(size)
-        flat = np.repeat(self.ends[at] - (stops - size), size) + np.arange(stops[-1])
-        ids = self.ids[flat].astype("<i4").tobytes()
-        return [ids[4 * (b - n):4 * b] if k else None for k, b, n in zip(known.tolist(), stops.tolist(), size.tolist())]
+        return known, self.ends[at], np.where(known, self.ends[at + 1] - self.ends[at], 0)
 
 
 def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
@@ -350,52 +340,44 @@ def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
 
 
 class Assembler:
-    """Texts to ids with the hot units and the rare ones of each text."""
-
-    def __init__(self, hot: Hot, pairs: set[str]):
-        self.hot, self.cutter = hot, Cutter(pairs)
-        #: Ids of words used lately and before; None for a word with rare units.
-        self.known: list[dict[str, bytes | None]] = [{}, {}]
-
-    def learn(self, words: set[str]) -> dict[str, bytes | None]:
-        """Ids of these words and others."""
-        if len(self.known[0]) > CACHE_WORDS:
-            self.known[:] = {}, self.known[0]
-        known, before = self.known
-        new = words - known.keys()
-        for w in new & before.keys():
-            known[w] = before[w]
-        new = list(new - known.keys())
-        units = [self.cutter.units(w) for w in new]
-        flat = list({u for x in units for u in x})
-        ids = dict(zip(flat, self.hot.find(flat)))
-        for w, x in zip(new, units):
-            parts = [ids[u] for u in x]
-            known[w] = None if None in parts else b"".join(parts)
-        return known
-
-    def rare(self, texts: list[str | None]) -> list[set[str]]:
-        """The rare units of each text."""
-        words = [set(self.cutter.words(t)) if t else set() for t in texts]
-        known = self.learn(set().union(*words))
-        units = [{u for w in x if known[w] is None for u in self.cutter.units(w)} for x in words]
-        flat = list(set().union(*units))
-        scarce = {u for u, x in zip(flat, self.hot.find(flat)) if x is None}
-        return [x & scarce for x in units]
-
-    def ids(self, texts: list[str | None], rare: list[dict[str, bytes]]) -> list[np.ndarray]:
-        split = [self.cutter.words(t) if t else [] for t in texts]
-        known = self.learn(set(chain.from_iterable(split)))
-        out = []
-        for words, own in zip(split, rare):
-            parts = [known[w] for w in words]
-            if None in parts:
-                made = {w: self.cutter.units(w) for w, x in zip(words, parts) if x is None}
-                flat = list({u for x in made.values() for u in x if u not in own})
-                own = own | dict(zip(flat, self.hot.find(flat)))
-                parts = [b"".join([own[u] for u in made[w]]) if x is None else x for w, x in zip(words, parts)]
-            out.append(np.frombuffer(b"".join(parts), "<i4"))
-        return out
+    """Texts to ids with the hot units and the rare ones that came with the texts. Nothing is kept between calls."""
+
+    def __init__(self, hot: Hot, pairs: set[str], merge_id: int | None = None):
+        self.hot, self.cutter, self.merge_id = hot, Cutter(pairs), merge_id
+
+    def rare(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """The rare units of the texts: number of the text and unit, each pair once."""
+        units, starts = self.cutter(texts)
+        coded = units.dictionary_encode()
+        place, distinct = coded.indices.to_numpy(), coded.dictionary
+        known, _, _ = self.hot.find(distinct)
+        at = np.flatnonzero(~known[place])
+        owner = np.searchsorted(starts, at, "right") - 1
+        pairs = np.unique(owner * len(distinct) + place[at])
+        return pairs // max(1, len(distinct)), distinct.take(pa.array(pairs % max(1, len(distinct))))
+
+    def ids(self, texts: pa.Array, rare: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another and where those of each text start; `rare` lists (unit, ids) per text."""
+        units, starts = self.cutter(texts)
+        coded = units.dictionary_encode()
+        known, first, size = self.hot.find(coded.dictionary)
+        pool, first = gather(self.hot.ids, first, size).astype(np.int32), np.cumsum(size) - size
+        if not known.all():
+            own = rare.flatten()
+            lists = own.field("ids")
+            at = pa.compute.index_in(coded.dictionary.filter(pa.array(~known)), own.field("unit").cast(pa.large_string()))
+            at = at.to_numpy(zero_copy_only=False).astype(np.int64)  # fails if a unit came with no text
+            many = lists.value_lengths().to_numpy().astype(np.int64)
+            first[~known], size[~known] = len(pool) + (np.cumsum(many) - many)[at], many[at]
+            pool = np.concatenate([pool, lists.flatten().to_numpy().astype(np.int32)])
+        place = coded.indices.to_numpy()
+        ids = gather(pool, first[place], size[place])
+        ends = np.concatenate([[0], np.cumsum(size[place])])[starts]
+        if self.merge_id is not None and len(ids):
+            again = np.concatenate([[False], (ids[1:] == self.merge_id) & (ids[:-1] == self.merge_id)])
+            again[ends[:-1][ends[:-1] < len(ids)]] = False
+            ids, ends = ids[~again], ends - np.concatenate([[0], np.cumsum(again)])[ends]
+        return ids, ends
 
 
 def text_key(text: str) -> int:
@@ -426,15 +408,17 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     frequent = hot_units(table)
     hot = spark.sparkContext.broadcast((frequent.hash, frequent.check, frequent.ends, frequent.ids))
     pairs, texts = vocabulary.pairs, vocabulary.texts()
-    decode = decoder(texts)
+    # The library gives one id for a run of unknown characters, unless they fall back to bytes.
+    merge_id = None if vocabulary.bytes else vocabulary.unknown
 
     def scarce(batches):
         maker = Assembler(Hot(*hot.value), pairs)
         for part in slices(batches, "text", TEXT_AT_ONCE):
-            column = part.column("text").to_pylist()
-            found = [(text_key(t), u) for t, units in zip(column, maker.rare(column)) for u in units]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([u for _, u in found])], ["text_hash", "unit"])
+            owner, units = maker.rare(part.column("text"))
+            if len(units):
+                some, back = np.unique(owner, return_inverse=True)
+                keys = np.array([text_key(t) for t in part.column("text").take(pa.array(some)).to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[back]), units.cast(pa.string())], ["text_hash", "unit"])
 
     if len(frequent.hash) == table.count():
         # The tasks have all units there are, so no text lacks one.
@@ -445,16 +429,20 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         joined = rows.withColumn("text_hash", F.xxhash64("text")).join(seen, "text_hash", "left").select("id", "text", "rare")
 
     def put_together(batches):
-        maker = Assembler(Hot(*hot.value), pairs)
+        maker = Assembler(Hot(*hot.value), pairs, merge_id)
+        spelt = np.frombuffer(b"".join(texts), np.uint8)
+        length = np.array([len(t) for t in texts], np.int64)
+        begin = np.cumsum(length) - length
         for part in slices(batches, "text", TEXT_AT_ONCE):
-            column = part.column("text").to_pylist()
-            rare = [{r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in x or ()} for x in part.column("rare").to_pylist()]
-            lists = maker.ids(column, rare)
-            same = [decode(ids.tolist()) == (t or "") for t, ids in zip(column, lists)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            values = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends), values),
-                                              pa.array(same, pa.bool_())], ["id", "n_tokens", "ids", "round_trip"])
+            ids, ends = maker.ids(part.column("text"), part.column("rare"))
+            # Back to text: the bytes of all pieces, compared text by text behind the space that was put in front.
+            back = gather(spelt, begin[ids], length[ids]).tobytes()
+            stops = np.concatenate([[0], np.cumsum(length[ids])])[ends].tolist()
+            data, at = text_bytes(part.column("text"))
+            whole, at = data.tobytes(), at.tolist()
+            same = [back[a + (a < b and back[a] == 32):b] == whole[c:d] for a, b, c, d in zip(stops[:-1], stops[1:], at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(ends).astype(np.int32)), pa.ListArray.from_arrays(
+                pa.array(ends.astype(np.int32)), pa.array(ids)), pa.array(same, pa.bool_())], ["id", "n_tokens", "ids", "round_trip"])
     kind = docs.schema[key].dataType.simpleString()
     return joined.mapInArrow(put_together, f"id {kind}, n_tokens int, ids array<int>, round_trip boolean").withColumnRenamed("id", key)
 
