@@ -108,18 +108,23 @@ def test_texts_are_put_together_from_hot_and_rare_units(hot):
     import pyarrow as pa
     ids = {"▁a": [5, 0], "▁b": [0], "▁": [7], "▁c": [], "z": [0, 0]}
     pairs, texts = {"▁a", "▁b", "▁c"}, ["a b", None, "", "b az", "c", "zz b"]
-    table = [u.encode() for u in sorted(ids, key=lambda u: pieces.xxhash.xxh64_intdigest(u.encode(), 42)) if len(ids) <= hot or u in list(ids)[:hot]]
-    held = pieces.Hot(np.array([pieces.xxhash.xxh64_intdigest(u, 42) for u in table], np.uint64), np.array([zlib.crc32(u) for u in table], np.uint32),
-                      np.cumsum([0, *[len(ids[u.decode()]) for u in table]]), np.array([i for u in table for i in ids[u.decode()]], np.uint16))
-    maker, column = pieces.Assembler(held, pairs), pa.array(texts)
-    owner, rare = maker.rare(column)
-    kind = pa.list_(pa.struct([("unit", pa.string()), ("ids", pa.list_(pa.int32()))]))
-    lists = [[{"unit": u, "ids": ids[u]} for o, u in zip(owner, rare.to_pylist()) if o == k] or None for k in range(len(texts))]
-    got, ends = maker.ids(column, pa.array(lists, kind))
+    held_units = [u.encode() for u in sorted(ids, key=lambda u: pieces.xxhash.xxh64_intdigest(u.encode(), 42)) if len(ids) <= hot or u in list(ids)[:hot]]
+    held = pieces.Hot(np.array([pieces.xxhash.xxh64_intdigest(u, 42) for u in held_units], np.uint64), np.array([zlib.crc32(u) for u in held_units], np.uint32),
+                      np.cumsum([0, *[len(ids[u.decode()]) for u in held_units]]), np.array([i for u in held_units for i in ids[u.decode()]], np.uint16))
+    table = pieces.Vocabulary([(i, p, 0.0) for i, p in enumerate(sorted(pairs))], [], 0, 9, True)
+    maker, column = pieces.Assembler(held, table), pa.array(texts)
+    maker.lone = ids.__getitem__
+    rare = maker.rare(column).to_pylist()
+    assert set(rare) == set(ids) - set(list(ids)[:hot])
     plain = [[i for u in pieces.Cutter(pairs)(pa.array([t]))[0].to_pylist() for i in ids[u]] if t else [] for t in texts]
-    assert [got[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == plain
-    got, ends = pieces.Assembler(held, pairs, 0).ids(column, pa.array(lists, kind))
-    assert [got[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [[i for k, i in enumerate(x) if i or not k or x[k - 1]] for x in plain]
+    kind = pa.schema([("unit", pa.large_string()), ("ids", pa.large_list(pa.int32()))])
+    for given in (rare, rare[1:], []):  # units that a task lacks are merged by itself
+        lists = pa.table({"unit": given, "ids": [ids[u] for u in given]}, kind)
+        for merge_id in (None, 0):
+            maker.merge_id = merge_id
+            got, ends = maker.ids(column, lists)
+            want = [[i for k, i in enumerate(x) if merge_id is None or i or not k or x[k - 1]] for x in plain]
+            assert [got[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == want
 
 
 @pytest.mark.parametrize("known_bytes", [[], list(range(100, 356))])

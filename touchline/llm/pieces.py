@@ -5,14 +5,19 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyarrow import fs, parquet
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.shared import slices, stored, text_bytes
+from touchline.llm.tokens import opened
+from touchline.session import scratch_dir
 
 SPACE = "▁"
 #: Units up to so many characters go through the lattice, whose fold keeps their borders as the bits of a number.
@@ -22,7 +27,9 @@ HOT_UNITS = 1_500_000
 #: Distinct units of some runs of text that are added up before they leave a task.
 COUNT_AT_ONCE = 300_000
 #: Text cut at once: units that recur in it are looked up once.
-TEXT_AT_ONCE = 3 << 20
+TEXT_AT_ONCE = 2 << 20
+#: Distinct units whose edges one task groups.
+UNITS_AT_ONCE = 50_000
 
 
 @dataclass
@@ -34,6 +41,10 @@ class Vocabulary:
     size: int
     merges: bool
 
+    @cached_property
+    def scores(self) -> dict[str, tuple[float, int]]:
+        return {p: (s, i) for i, p, s in self.pieces}
+
     @property
     def longest(self) -> int:
         return max((len(p) for _, p, _ in self.pieces), default=1)
@@ -153,7 +164,9 @@ def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     order = {x: k for k, x in enumerate(sorted({-score for *_, score in vocabulary.pieces}))}
     table = spark.createDataFrame([(*p, order[-p[2]]) for p in vocabulary.pieces], "id int, piece string, score double, place int")
     n = F.char_length("unit")
-    spans = (units.withColumn("uid", F.monotonically_increasing_id())
+    # Dealt out by unit first, so edges are grouped where they were found, a bounded number of units at a time.
+    parts = max(1, -(-units.count() // UNITS_AT_ONCE))
+    spans = (units.repartition(parts, "unit").withColumn("uid", F.monotonically_increasing_id())
              .select("uid", "unit", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
              .select("uid", "unit", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - F.col("s")))).alias("k"))
              .select("uid", "unit", "n", "s", (F.col("s") + F.col("k")).alias("e"), F.substring("unit", F.col("s") + 1, F.col("k")).alias("piece")))
@@ -241,7 +254,7 @@ def viterbi(n: Column) -> Column:
 def by_heap(unit: str, vocabulary: Vocabulary) -> list[int]:
     """Pieces of a unit too long for the lattice: the best neighbours are joined first (merges), or the best path is kept."""
     import heapq
-    score = {p: (s, i) for i, p, s in vocabulary.pieces}
+    score = vocabulary.scores
     single = lambda c: [score[c][1]] if c in score else [vocabulary.bytes[b] for b in c.encode()] or [vocabulary.unknown] \
         if vocabulary.bytes else [vocabulary.unknown]
     if not vocabulary.merges:
@@ -340,33 +353,35 @@ def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
 
 
 class Assembler:
-    """Texts to ids with the hot units and the rare ones that came with the texts. Nothing is kept between calls."""
+    """Texts to ids with the hot units and the rare ones of a task's rows; a unit in neither is merged by itself. Nothing
+    is kept between calls."""
 
-    def __init__(self, hot: Hot, pairs: set[str], merge_id: int | None = None):
-        self.hot, self.cutter, self.merge_id = hot, Cutter(pairs), merge_id
+    def __init__(self, hot: Hot, vocabulary: Vocabulary):
+        self.hot, self.cutter, self.lone = hot, Cutter(vocabulary.pairs), lambda unit: by_heap(unit, vocabulary)
+        # The library gives one id for a run of unknown characters, unless they fall back to bytes.
+        self.merge_id = None if vocabulary.bytes else vocabulary.unknown
 
-    def rare(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-        """The rare units of the texts: number of the text and unit, each pair once."""
-        units, starts = self.cutter(texts)
-        coded = units.dictionary_encode()
-        place, distinct = coded.indices.to_numpy(), coded.dictionary
-        known, _, _ = self.hot.find(distinct)
-        at = np.flatnonzero(~known[place])
-        owner = np.searchsorted(starts, at, "right") - 1
-        pairs = np.unique(owner * len(distinct) + place[at])
-        return pairs // max(1, len(distinct)), distinct.take(pa.array(pairs % max(1, len(distinct))))
-
-    def ids(self, texts: pa.Array, rare: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after another and where those of each text start; `rare` lists (unit, ids) per text."""
+    def rare(self, texts: pa.Array) -> pa.Array:
+        """The distinct units of the texts that are not hot."""
+        distinct = self.cutter(texts)[0].dictionary_encode().dictionary
+        return distinct.filter(pa.array(~self.hot.find(distinct)[0], pa.bool_()))
+
+    def ids(self, texts: pa.Array, rare: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another and where those of each text start; `rare` is a table (unit, ids)."""
         units, starts = self.cutter(texts)
         coded = units.dictionary_encode()
         known, first, size = self.hot.find(coded.dictionary)
         pool, first = gather(self.hot.ids, first, size).astype(np.int32), np.cumsum(size) - size
         if not known.all():
-            own = rare.flatten()
-            lists = own.field("ids")
-            at = pa.compute.index_in(coded.dictionary.filter(pa.array(~known)), own.field("unit").cast(pa.large_string()))
-            at = at.to_numpy(zero_copy_only=False).astype(np.int64)  # fails if a unit came with no text
+            names, lists = rare.column("unit").combine_chunks(), rare.column("ids").combine_chunks()
+            others = coded.dictionary.filter(pa.array(~known))
+            at = pa.compute.index_in(others, names)
+            if at.null_count:
+                more = others.filter(at.is_null())
+                names = pa.concat_arrays([names, more])
+                lists = pa.concat_arrays([lists, pa.array([self.lone(u) for u in more.to_pylist()], lists.type)])
+                at = pa.compute.index_in(others, names)
+            at = at.to_numpy()
             many = lists.value_lengths().to_numpy().astype(np.int64)
             first[~known], size[~known] = len(pool) + (np.cumsum(many) - many)[at], many[at]
             pool = np.concatenate([pool, lists.flatten().to_numpy().astype(np.int32)])
@@ -380,9 +395,20 @@ class Assembler:
         return ids, ends
 
 
-def text_key(text: str) -> int:
-    """What F.xxhash64 gives for a text."""
-    return int.from_bytes(xxhash.xxh64_digest(text.encode("utf-8", "surrogatepass"), 42), signed=True)
+def rare_units(folder: str | None) -> pa.Table:
+    """The rare units (unit, ids) of one part of the rows; none if there is no such folder."""
+    schema = pa.schema([("unit", pa.large_string()), ("ids", pa.large_list(pa.int32()))])
+    if folder is None:
+        return schema.empty_table()
+    disk, path = opened(folder)
+    if disk.get_file_info(path).type != fs.FileType.Directory:
+        return schema.empty_table()
+    files = [f.path for f in disk.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet")]
+    tables = []
+    for f in files:
+        with disk.open_input_file(f) as file:
+            tables.append(parquet.read_table(file, columns=["unit", "ids"]).cast(schema))
+    return pa.concat_tables([schema.empty_table(), *tables])
 
 
 def decoder(texts: list[bytes]):
@@ -398,7 +424,8 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     Every distinct unit of the corpus is encoded once in the lattice; units are the words of texts, cut where no piece has
     both neighbouring characters. The most frequent units go to the tasks in a table of bounded size, the others are
-    joined. Ids are those of the sentencepiece library. NULL and empty texts have no ids. Rows that repeat a key stay
+    joined with the units of each part of the rows and read by the task of that part. Should the rows be dealt otherwise
+    the second time, units that a task lacks are merged in it, to the same ids. Ids are those of the sentencepiece library. NULL and empty texts have no ids. Rows that repeat a key stay
     rows; rows with NULL keys are encoded too. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -407,34 +434,29 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     table = encode_units(rows, vocabulary)
     frequent = hot_units(table)
     hot = spark.sparkContext.broadcast((frequent.hash, frequent.check, frequent.ends, frequent.ids))
-    pairs, texts = vocabulary.pairs, vocabulary.texts()
-    # The library gives one id for a run of unknown characters, unless they fall back to bytes.
-    merge_id = None if vocabulary.bytes else vocabulary.unknown
+    texts, folder = vocabulary.texts(), scratch_dir(spark, "rare")
 
     def scarce(batches):
-        maker = Assembler(Hot(*hot.value), pairs)
+        maker, task = Assembler(Hot(*hot.value), vocabulary), TaskContext.get().partitionId()
         for part in slices(batches, "text", TEXT_AT_ONCE):
-            owner, units = maker.rare(part.column("text"))
+            units = maker.rare(part.column("text"))
             if len(units):
-                some, back = np.unique(owner, return_inverse=True)
-                keys = np.array([text_key(t) for t in part.column("text").take(pa.array(some)).to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(keys[back]), units.cast(pa.string())], ["text_hash", "unit"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(units), task, np.int32)), units.cast(pa.string())], ["task", "unit"])
 
-    if len(frequent.hash) == table.count():
-        # The tasks have all units there are, so no text lacks one.
-        joined = rows.withColumn("rare", F.lit(None).cast("array<struct<unit:string,ids:array<int>>>"))
-    else:
-        seen = rows.select("text").mapInArrow(scarce, "text_hash long, unit string").join(table.select("unit", "ids"), "unit")
-        seen = seen.dropDuplicates(["text_hash", "unit"]).groupBy("text_hash").agg(F.collect_list(F.struct("unit", "ids")).alias("rare"))
-        joined = rows.withColumn("text_hash", F.xxhash64("text")).join(seen, "text_hash", "left").select("id", "text", "rare")
+    all_hot = len(frequent.hash) == table.count()
+    if not all_hot:
+        # The rare units of each part of the rows, with their ids, go to a folder of their own: texts are not shuffled.
+        seen = rows.select("text").mapInArrow(scarce, "task int, unit string").distinct().join(table.select("unit", "ids"), "unit")
+        seen.repartition("task").write.partitionBy("task").parquet(folder)
 
     def put_together(batches):
-        maker = Assembler(Hot(*hot.value), pairs, merge_id)
+        maker = Assembler(Hot(*hot.value), vocabulary)
+        rare = rare_units(None if all_hot else f"{folder}/task={TaskContext.get().partitionId()}")
         spelt = np.frombuffer(b"".join(texts), np.uint8)
         length = np.array([len(t) for t in texts], np.int64)
         begin = np.cumsum(length) - length
         for part in slices(batches, "text", TEXT_AT_ONCE):
-            ids, ends = maker.ids(part.column("text"), part.column("rare"))
+            ids, ends = maker.ids(part.column("text"), rare)
             # Back to text: the bytes of all pieces, compared text by text behind the space that was put in front.
             back = gather(spelt, begin[ids], length[ids]).tobytes()
             stops = np.concatenate([[0], np.cumsum(length[ids])])[ends].tolist()
@@ -444,7 +466,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(ends).astype(np.int32)), pa.ListArray.from_arrays(
                 pa.array(ends.astype(np.int32)), pa.array(ids)), pa.array(same, pa.bool_())], ["id", "n_tokens", "ids", "round_trip"])
     kind = docs.schema[key].dataType.simpleString()
-    return joined.mapInArrow(put_together, f"id {kind}, n_tokens int, ids array<int>, round_trip boolean").withColumnRenamed("id", key)
+    return rows.mapInArrow(put_together, f"id {kind}, n_tokens int, ids array<int>, round_trip boolean").withColumnRenamed("id", key)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", text: str = "text") -> DataFrame:
