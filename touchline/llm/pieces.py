@@ -328,8 +328,8 @@ class Hot:
         return known, self.ends[at], np.where(known, self.ends[at + 1] - self.ends[at], 0)
 
 
-def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
-    """The units that occur most often, as many whole classes of similar counts as fit into `limit`."""
+def hot_units(table: DataFrame, limit: int | None = None) -> tuple[Hot, DataFrame]:
+    """The units that occur most often, as many whole classes of similar counts as fit into `limit`, and the table of all others."""
     level = F.floor(F.log2("n") * 8)  # some hundreds of classes at most
     room, least = HOT_UNITS if limit is None else limit, None
     for row in sorted(table.groupBy(level.alias("level")).count().collect(), reverse=True):
@@ -338,7 +338,7 @@ def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
             break
         least = row["level"]
     if least is None:
-        return Hot(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.uint16))
+        return Hot(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.uint16)), table
     got = table.filter(level >= least).select(F.xxhash64("unit").alias("h"), F.crc32(F.encode("unit", "UTF-8")).alias("c"), "ids").toArrow()
     h = got.column("h").to_numpy().view(np.uint64)  # at most `limit` rows
     lists = got.column("ids").combine_chunks()
@@ -349,7 +349,7 @@ def hot_units(table: DataFrame, limit: int | None = None) -> Hot:
     ends = np.concatenate([[0], np.cumsum(size[order])])
     take = np.repeat(starts[order] - ends[:-1], size[order]) + np.arange(len(flat))
     kind = np.uint16 if len(flat) == 0 or flat.max() < 1 << 16 else np.int32
-    return Hot(h[order], got.column("c").to_numpy().astype(np.uint32)[order], ends, flat[take].astype(kind))
+    return Hot(h[order], got.column("c").to_numpy().astype(np.uint32)[order], ends, flat[take].astype(kind)), table.filter(level < least)
 
 
 class Assembler:
@@ -432,7 +432,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     vocabulary = load(model)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     table = encode_units(rows, vocabulary)
-    frequent = hot_units(table)
+    frequent, others = hot_units(table)
     hot = spark.sparkContext.broadcast((frequent.hash, frequent.check, frequent.ends, frequent.ids))
     texts, folder = vocabulary.texts(), scratch_dir(spark, "rare")
 
@@ -445,8 +445,9 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     all_hot = len(frequent.hash) == table.count()
     if not all_hot:
-        # The rare units of each part of the rows, with their ids, go to a folder of their own: texts are not shuffled.
-        seen = rows.select("text").mapInArrow(scarce, "task int, unit string").distinct().join(table.select("unit", "ids"), "unit")
+        # The rare units of each part of the rows, with their ids, go to a folder of their own: texts are not shuffled. One
+        # that comes again in a later run of text of the part is there again.
+        seen = rows.select("text").mapInArrow(scarce, "task int, unit string").join(others.select("unit", "ids"), "unit")
         seen.repartition("task").write.partitionBy("task").parquet(folder)
 
     def put_together(batches):
