@@ -25,9 +25,9 @@ HEADER = "<8sQQQBB6x"
 #: One select sample for so many set bits.
 SAMPLE = 64
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS, WORDS_AT_ONCE = 450_000, 10_000
+CACHE_WORDS, WORDS_AT_ONCE = 400_000, 10_000
 #: Text encoded at once: words that recur in it are looked up once.
-TEXT_AT_ONCE = 8 << 20
+TEXT_AT_ONCE = 4 << 20
 #: Text that makes one file, about.
 SHARD_TEXT_BYTES = 64 << 20
 #: Letters that signs end (apostrophes aside): the pre-tokenizer cuts between them, so both are looked up by themselves.
