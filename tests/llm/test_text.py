@@ -309,3 +309,20 @@ def test_leaks_of_items_that_share_an_id(spark):
     docs = spark.createDataFrame([(i, f"{sentence(rng, 40)} {t} {sentence(rng, 40)}") for i, t in enumerate(texts)], "doc_id long, text string")
     got = [(r["doc_id"], r["item_id"]) for r in leaks.leaks(docs, bench).collect()]
     assert sorted(got, key=str) == sorted([(0, 1), (1, 1), (2, None), (3, None), (4, 4), (4, 5)], key=str)
+
+
+def test_windows_without_the_rare_words_of_an_item_are_not_compared(monkeypatch):
+    size = 1 << leaks.TERM_BITS
+    item = [f"item{k}" for k in range(20)]
+    # A space of one direction: every window is as near to every passage as can be.
+    search = leaks.search(leaks.Latent(np.ones(size), np.ones((size, 1), np.float32)), [{"item": 1, "text": " ".join(item)}], {1: " ".join(item)})
+    compared, plain = [], leaks.subsequence
+    monkeypatch.setattr(leaks, "subsequence", lambda *args: compared.append(args) or plain(*args))
+
+    def found(words):
+        compared.clear()
+        rows = pa.RecordBatch.from_pydict({"id": [7], "text": [" ".join(words)]})
+        return [r["common"] for batch in search(iter([rows])) for r in batch.to_pylist()]
+    assert found([f"other{k}" for k in range(200)]) == [] and not compared
+    other = [f"other{k}" for k in range(40)]
+    assert max(found(other + item + other)) == 1.0 and compared

@@ -71,9 +71,10 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
         for part in slices(iter([batch]), "text"):
             words, term = buckets(part.column("text"))
             # One number per document and bucket; sorting is cheaper here than a set per document.
-            own = np.unique(words.text.astype(np.int64) << TERM_BITS | term)
-            np.add.at(total, own & (size - 1), 1)
-            total[size] += len(np.unique(words.text))
+            own = np.sort(words.text.astype(np.int64) << TERM_BITS | term)
+            own = own[np.diff(own, prepend=-1) != 0]
+            total[:size] += np.bincount(own & (size - 1), minlength=size)
+            total[size] += np.count_nonzero(np.diff(words.text, prepend=-1))
 
     counts = add_up(docs.select("text"), run, size + 1)
     return counts[:-1], int(counts[-1])
@@ -228,20 +229,29 @@ class Rare:
         self.known = np.zeros(1 << TERM_BITS, bool)
         self.known[(self.words >> np.uint64(64 - TERM_BITS)).astype(np.int64)] = True
 
-    def windows(self, words, term: np.ndarray, cuts: np.ndarray, number: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, first and last block at which they start) of all windows that, with the words on either side, have enough."""
+    def places(self, words, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of items and the places of their rarest words, in this order."""
         at = np.flatnonzero(self.known[term])
         code = np.searchsorted(self.words, words.hash[at]).clip(max=max(0, len(self.words) - 1))
         same = self.words[code] == words.hash[at]
         at, code = at[same], code[same]
-        if not len(at):
-            return
         many = self.first[code + 1] - self.first[code]
         ends = np.cumsum(many)
-        k = self.owner[np.arange(ends[-1]) - np.repeat(ends - many - self.first[code], many)]
+        k = self.owner[np.arange(many.sum()) - np.repeat(ends - many - self.first[code], many)]
         at = np.repeat(at, many)
         order = np.argsort(k, kind="stable")
-        k, at = k[order], at[order]
+        return k[order], at[order]
+
+    def enough(self, places: tuple[np.ndarray, np.ndarray], size: int, k: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether items have as many of their rarest words from a to before b, of `size` words, as every leak has."""
+        sorted_places = places[0] * (size + 1) + places[1]
+        return np.searchsorted(sorted_places, k * (size + 1) + b) - np.searchsorted(sorted_places, k * (size + 1) + a) >= self.least[k]
+
+    def windows(self, words, places: tuple[np.ndarray, np.ndarray], cuts: np.ndarray, number: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first and last block at which they start) of all windows that, with the words on either side, have enough."""
+        k, at = places
+        if not len(at):
+            return
         last = np.arange(len(k)) + self.least[k] - 1
         inside = last < len(k)
         first, last = np.flatnonzero(inside), last[inside]
@@ -285,6 +295,8 @@ def search(space: Latent, passages: list, items: dict[int, str]):
     item_places = {i: places_of(x) for i, x in sequence.items()}
     answer_places = {i: places_of(x) for i, x in answers.items()}
     rare = Rare(sequence, space.idf)
+    item_number = {i: k for k, i in enumerate(rare.items)}
+    owner_number = np.array([item_number.get(i, -1) for i in owner], np.int64)
     own: dict[int, list[int]] = {}
     for k, i in enumerate(owner):
         own.setdefault(i, []).append(k)
@@ -313,6 +325,7 @@ def search(space: Latent, passages: list, items: dict[int, str]):
             for k in range(BLOCK):
                 block += projection[grid[:, k]]
             best: dict[tuple[int, int], tuple] = {}
+            places = rare.places(words, term)
             for s, size in enumerate(WINDOWS):
                 if not len(groups[s]):
                     continue
@@ -324,20 +337,24 @@ def search(space: Latent, passages: list, items: dict[int, str]):
                 some = np.flatnonzero(high >= LEAST_SHARE * norm[groups[s]].min())
                 for at in range(0, len(some), 4096):
                     rows = some[at:at + 4096]
-                    near = (window[rows] / high[rows, None]) @ vectors[groups[s]].T
-                    w, p = np.nonzero((near >= COSINE) & (high[rows, None] >= LEAST_SHARE * norm[groups[s]]))
-                    for cosine, row, passage in zip(near[w, p].tolist(), rows[w].tolist(), groups[s][p].tolist()):
+                    part_windows = window[rows]
+                    part_windows /= high[rows, None]
+                    near = part_windows @ vectors[groups[s]].T
+                    w, p = np.divmod(np.flatnonzero(near >= COSINE), near.shape[1])
+                    long = high[rows[w]] >= LEAST_SHARE * norm[groups[s][p]]
+                    w, p = w[long], p[long]
+                    row, passage = rows[w], groups[s][p]
+                    k, first = owner_number[passage], starts[row]
+                    a = np.maximum(cuts[doc[row]], first - rare.size[k])
+                    b = np.minimum(cuts[doc[row] + 1], first + size * BLOCK + rare.size[k])
+                    # Without enough of the rarest words the comparison can only fail.
+                    found = rare.enough(places, len(term), k, a, b)
+                    for cosine, d, first, passage, a, b, may in zip(*(x.tolist() for x in (near[w, p], doc[row], first, passage, a, b, found))):
                         i = owner[passage]
-                        first = int(starts[row])
-                        place = (int(doc[row]), i, first // (2 * BLOCK))
-                        if place in best:
-                            continue
-                        reach = len(sequence[i])
-                        a = max(int(cuts[doc[row]]), first - reach)
-                        b = min(int(cuts[doc[row] + 1]), first + size * BLOCK + reach)
-                        share, answer = check(i, words.hash[a:b].tolist())
-                        best[place] = (share, answer, cosine)
-            for i, low, high in rare.windows(words, term, cuts, number, doc):
+                        place = (d, i, first // (2 * BLOCK))
+                        if place not in best:
+                            best[place] = (*check(i, words.hash[a:b].tolist()), cosine) if may else (0.0, 0.0, cosine)
+            for i, low, high in rare.windows(words, places, cuts, number, doc):
                 reach, d, width = len(sequence[i]), int(doc[low]), BLOCK * WINDOWS[scale[own[i][0]]]
                 start, stop = int(cuts[d]), int(cuts[d + 1])
                 around = lambda a, b: words.hash[max(start, int(starts[a]) - reach):min(stop, int(starts[b]) + width + reach)].tolist()  # noqa: B023, E731

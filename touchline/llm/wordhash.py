@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +25,31 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """Words in order: hash, text and line (counted from 0 in each text); runs() hashes runs of neighbours."""
+    """Words in order: hash, text and line (counted from 0 in each text); poly() hashes runs of neighbours.
+
+    Lines and sums are made when they are first asked for.
+    """
     hash: np.ndarray
     text: np.ndarray
-    line: np.ndarray
-    sums: np.ndarray
-    inverse: np.ndarray
+    start: np.ndarray
+    stops: np.ndarray
+    data: np.ndarray
+
+    @cached_property
+    def line(self) -> np.ndarray:
+        feeds = np.cumsum(self.data == _LINE)
+        first = np.concatenate([[0], feeds[self.stops[:-1] - 1]]) if len(self.stops) else np.zeros(0, np.int64)
+        return feeds[self.start] - first[self.text]
+
+    @cached_property
+    def sums(self) -> np.ndarray:
+        total = np.zeros(len(self.hash) + 1, np.uint64)
+        np.cumsum(self.hash * powers(WORD_BASE, len(self.hash))[:len(self.hash)], out=total[1:])
+        return total
+
+    @cached_property
+    def inverse(self) -> np.ndarray:
+        return powers(pow(WORD_BASE, -1, 2 ** 64), len(self.hash))
 
     def poly(self, a: np.ndarray, b: np.ndarray, shift: int = 0) -> np.ndarray:
         """Sum of hash[a + k] * WORD_BASE^(k + shift) over the words from a to before b: concatenation adds such sums."""
@@ -57,11 +77,6 @@ def words_of(column: pa.Array, letters_only: bool = False) -> Words:
     np.cumsum(code[data] * powers(BYTE_BASE, len(data) - 1), out=sums[1:])
     back = powers(pow(BYTE_BASE, -1, 2 ** 64), len(data) - 1)
     word = mix((sums[end] - sums[start]) * back[start])
-    stops = np.cumsum([len(t) + 1 for t in texts])
-    text = np.searchsorted(stops, start, "right")
-    feeds = np.cumsum(data == _LINE)
-    first = np.concatenate([[0], feeds[stops[:-1] - 1]]) if len(stops) else np.zeros(0, np.int64)
-    line = feeds[start] - first[text]
-    total = np.zeros(len(word) + 1, np.uint64)
-    np.cumsum(word * powers(WORD_BASE, len(word))[:len(word)], out=total[1:])
-    return Words(word, text, line, total, powers(pow(WORD_BASE, -1, 2 ** 64), len(word)))
+    stops = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, stops), prepend=0))
+    return Words(word, text, start, stops, data)
