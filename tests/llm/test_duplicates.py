@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -209,3 +210,16 @@ def test_list_decoding_finds_all_directions_above_the_height():
         score = (parts[0] @ v[:cut])[:, None] + parts[1] @ v[cut:]
         want = np.flatnonzero(score.ravel() >= height)
         assert len(got) >= vectors.LEAST_LIST and (len(want) < vectors.LEAST_LIST or got.tolist() == want.tolist())
+
+
+def test_batches_are_cut_by_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('w', id), 600) AS text")
+    lines.drop_lines(docs)
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches), "size long").collect()
+    assert 1 < len(sizes) and max(r["size"] for r in sizes) <= shared.SLICE_BYTES
+    spark.conf.set(key, "123456")
+    lines.drop_lines(docs)
+    assert spark.conf.get(key) == "123456"
+    spark.conf.unset(key)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchline.llm.shared import slices
+from touchline.llm.shared import bounded_batches, slices
 
 #: Raw text of each language that becomes its dictionary, and the documents it is taken from, at most.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_CHARS = 256 << 10, 400, 4_000
@@ -134,4 +134,5 @@ def keep_known(docs: DataFrame, languages: Languages, text: str = "text", margin
             kept = part.filter(pa.array([name != UNKNOWN and score >= margin for name, score in found], pa.bool_()))
             if kept.num_rows:
                 yield kept
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.shared import BROADCAST_ROWS, slices, stored
+from touchline.llm.shared import BROADCAST_ROWS, bounded_batches, slices, stored
 from touchline.llm.wordhash import Words, mix, words_of
 
 #: Lines of at least so many words may differ by one word (one edit in five: a similarity of 0.8); shorter ones must be equal.
 LEAST_WORDS = 5
 LAST = (1 << 63) - 1
+#: Text whose words are hashed at once; the sums take some 40 bytes for each of its bytes.
+TEXT_AT_ONCE = 1 << 20
 
 
 def runs(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +46,7 @@ def halves(words: Words, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
 
 def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each distinct line of each document with its first place: hash, words, document, line number, keys of its halves."""
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", TEXT_AT_ONCE):
         words = words_of(part.column("text"))
         a, b = runs(words)
         if not len(a):
@@ -61,7 +63,7 @@ def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The chosen lines of each document: hash, words as 64-bit hashes, and the key of the line without each word."""
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", TEXT_AT_ONCE):
         words = words_of(part.column("text"))
         a, b = runs(words)
         lines = [set(x) for x in part.column("lines").to_pylist()]
@@ -159,7 +161,7 @@ def lines_to_drop(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Take the lost lines out of each text, and repeats of a line inside it."""
-    for part in slices(batches, "text"):
+    for part in slices(batches, "text", TEXT_AT_ONCE):
         words = words_of(part.column("text"))
         a, b = runs(words)
         h = finish(words.poly(a, b), b - a, 0).tolist()
@@ -187,6 +189,7 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     come last and count as one document. Rows that repeat a key and text are one document: they lose the same lines.
     An empty table gives no rows. Columns named like helpers ("id", "lost" and so on) are not touched.
     """
+    bounded_batches(docs.sparkSession)
     lost = lines_to_drop(docs, key, text)
     packed = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"))
     joined = packed.join(lost.hint("shuffle_hash"), F.coalesce("id", F.lit(LAST)) == F.col("doc"), "left").select("row", "text", "lost")
