@@ -2,9 +2,11 @@
 
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +175,15 @@ def test_stages_keep_clean_documents_and_their_columns(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in out.select("doc_id").collect()} == set(kept)
     assert out.filter(~F.col("round_trip")).count() == 0
+
+
+def test_cutting_takes_little_memory(monkeypatch):
+    pairs, texts = {"ab", "bc", "ca"}, pa.array(["abc cab xyz " * 100_000, "é", None])
+    tracemalloc.start()
+    units, starts = pieces.Cutter(pairs)(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 33 * len(texts[0].as_py())  # bytes for each byte of text
+    monkeypatch.setattr(pieces, "TABLE_PAIRS", 0)
+    again, same = pieces.Cutter(pairs)(texts)
+    assert again.equals(units) and (same == starts).all()

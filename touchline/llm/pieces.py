@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.shared import slices, stored, text_bytes
+from touchline.llm.shared import bounded_batches, slices, stored, text_bytes
 from touchline.llm.tokens import opened
 from touchline.session import scratch_dir
 
@@ -28,6 +28,8 @@ HOT_UNITS = 1_500_000
 COUNT_AT_ONCE = 300_000
 #: Text cut at once: units that recur in it are looked up once.
 TEXT_AT_ONCE = 2 << 20
+#: Pairs of characters that are looked up in a table of bytes.
+TABLE_PAIRS = 4 << 20
 #: Distinct units whose edges one task groups.
 UNITS_AT_ONCE = 50_000
 
@@ -91,7 +93,21 @@ class Cutter:
         self.number = np.zeros(max(chars, default=0) + 2, np.int32)
         self.number[chars] = np.arange(1, len(chars) + 1)
         self.width = len(chars) + 1
-        self.pairs = np.array(sorted(self.width * int(self.number[ord(p[0])]) + int(self.number[ord(p[1])]) for p in pairs), np.int64)
+        pairs_inside = np.array(sorted(self.width * int(self.number[ord(p[0])]) + int(self.number[ord(p[1])]) for p in pairs), np.int64)
+        #: Whether pieces have a pair, by its number; sorted numbers for alphabets too large for a table.
+        self.table, self.pairs = None, pairs_inside
+        if self.width ** 2 <= TABLE_PAIRS:
+            self.table = np.zeros(self.width ** 2, bool)
+            self.table[pairs_inside] = True
+
+    def inside(self, codes: np.ndarray) -> np.ndarray:
+        """Whether a piece has both, for each two neighbours of some characters."""
+        number = self.number[np.minimum(codes, len(self.number) - 1)]
+        if self.table is not None:
+            pair = number[:-1] * np.int32(self.width)
+            pair += number[1:]
+            return self.table[pair]
+        return np.isin(number[:-1].astype(np.int64) * self.width + number[1:], self.pairs)
 
     def __call__(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The units of all texts one after another, and where those of each text start (NULL and empty texts have none)."""
@@ -100,10 +116,9 @@ class Cutter:
         data, offsets = text_bytes(pa.compute.if_else(some, marked, ""))
         chars = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
         codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
-        number = self.number[np.minimum(codes, len(self.number) - 1)].astype(np.int64)
         cut = np.ones(len(chars), bool)
         if len(codes):
-            cut[1:-1] = ~np.isin(number[:-1] * self.width + number[1:], self.pairs)
+            cut[1:-1] = ~self.inside(codes)
         first = np.searchsorted(chars, offsets)
         cut[first] = True
         edges = np.flatnonzero(cut)
@@ -429,6 +444,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     rows; rows with NULL keys are encoded too. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     vocabulary = load(model)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     table = encode_units(rows, vocabulary)
