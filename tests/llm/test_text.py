@@ -1,6 +1,7 @@
 """Pages, languages, toxicity, personal data and leaks, with odd rows."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -326,3 +327,33 @@ def test_windows_without_the_rare_words_of_an_item_are_not_compared(monkeypatch)
     assert found([f"other{k}" for k in range(200)]) == [] and not compared
     other = [f"other{k}" for k in range(40)]
     assert max(found(other + item + other)) == 1.0 and compared
+
+
+def test_latent_space_is_exact_and_small_in_the_driver(spark):
+    """As many directions as passages keep all cosines, repeated passages too; the driver holds rows of their terms only."""
+    rng, words = random.Random(7), [f"w{k}" for k in range(900)]
+    texts = [" ".join(rng.choices(words, k=32)) for _ in range(100)]
+    texts = texts + texts[:30] + ["?", "one"]
+    size = 1 << leaks.TERM_BITS
+    idf = np.random.default_rng(3).uniform(1, 5, size)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    tracemalloc.start()
+    space = leaks.latent_space(frame, idf, len(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 << 20, peak
+    found, term = leaks.buckets(pa.array(texts))
+    exact, latent = np.zeros((len(texts), size)), np.zeros((len(texts), space.projection.shape[1]))
+    row = {t: k for k, t in enumerate(range(size) if space.terms is None else space.terms.tolist())}
+    for t, k in zip(found.text, term):
+        exact[t, k] += idf[k]
+        latent[t] += space.projection[row[k]]
+    assert np.abs(exact @ exact.T - latent @ latent.T).max() < 1e-4 * (exact ** 2).sum(axis=1).max()
+    assert latent.shape[1] == 101
+
+
+def test_latent_space_of_passages_without_words(spark):
+    space = leaks.latent_space(spark.createDataFrame([("?",), ("",)], "text string"), np.ones(1 << leaks.TERM_BITS), 2)
+    assert space.projection.shape == (0, 0)
+    docs = spark.createDataFrame([(1, "? one two three")], "doc_id long, text string")
+    assert leaks.leaks(docs, spark.createDataFrame([(1, "?!"), (2, "...")], "item_id long, text string")).count() == 0

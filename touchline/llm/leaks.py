@@ -58,8 +58,10 @@ def add_up(rows: DataFrame, run, size: int) -> np.ndarray:
         partial = (partial.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("part", "at")
                    .applyInArrow(together, "at long, v binary"))
     out = np.zeros(size)
-    for row in partial.groupBy("at").applyInArrow(together, "at long, v binary").collect():  # a vector of fixed size
-        out[row["at"]:row["at"] + step] = np.frombuffer(row["v"])
+    # A vector whose size does not depend on the rows; as Arrow it is held once less on its way than as rows.
+    for batch in partial.groupBy("at").applyInArrow(together, "at long, v binary").toArrow().to_batches():
+        for at, v in zip(batch.column("at").to_pylist(), batch.column("v")):
+            out[at:at + step] = np.frombuffer(v.as_buffer())
     return out
 
 
@@ -82,9 +84,10 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 @dataclass
 class Latent:
-    """Term weights and the projection of weighted terms to the latent space (rows of zeros: terms of no passage)."""
+    """Weights of all terms, the projection of weighted terms to the latent space, and the terms of its rows (None: all)."""
     idf: np.ndarray
     projection: np.ndarray
+    terms: np.ndarray | None = None
 
 
 def weighted(words, term: np.ndarray, idf: np.ndarray, texts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -97,29 +100,68 @@ def weighted(words, term: np.ndarray, idf: np.ndarray, texts: int) -> Iterator[t
         yield ids, w / size if size else w
 
 
+def row_blocks(rows: int, step: int = 1 << 12) -> Iterator[slice]:
+    return (slice(at, min(at + step, rows)) for at in range(0, rows, step))
+
+
+def noise(terms: np.ndarray, width: int) -> np.ndarray:
+    """The rows of `terms` of a random matrix of all terms, the same in every task, so that nobody has to send it."""
+    rng, out = np.random.default_rng(SEED), np.empty((len(terms), width))
+    for block in row_blocks(1 << TERM_BITS):
+        part = rng.standard_normal((block.stop - block.start, width))
+        some = slice(*np.searchsorted(terms, (block.start, block.stop)))
+        out[some] = part[terms[some] - block.start]
+    return out
+
+
+def orthonormal(tall: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of the columns, written over them without a copy; zeros for columns that depend on others."""
+    r = np.zeros((1, tall.shape[1]))
+    for block in row_blocks(len(tall)):
+        r = np.linalg.qr(np.concatenate([r, tall[block]]), mode="r")
+    _, size, turn = np.linalg.svd(r, full_matrices=False)
+    turn = turn.T * np.divide(1, size, out=np.zeros_like(size), where=size > 1e-10 * size[0])
+    for block in row_blocks(len(tall)):
+        tall[block] = tall[block] @ turn
+    return tall
+
+
 def latent_space(passages: DataFrame, idf: np.ndarray, n: int) -> Latent:
     """Truncated singular value decomposition of the TF-IDF matrix of all passages by random projection.
 
-    Each pass over the passages multiplies their matrix and its transpose with a narrow matrix of one row per term; only
-    such matrices, of a size that does not depend on the number of passages, come to the driver.
+    The first pass over the passages multiplies their matrix and its transpose with a random matrix that the tasks draw
+    themselves, the second one sends them an orthonormal basis of that product. The driver gets one narrow matrix, with a
+    row for each term of the passages (the rows of all others are zero), and a square one of its few columns; the size of
+    neither depends on the number of passages.
     """
-    terms, width = 1 << TERM_BITS, min(RANK + OVERSAMPLE, max(1, n))
-
-    def product(narrow: np.ndarray) -> np.ndarray:
-        def run(batch, total):
-            out = total.reshape(terms, -1)
-            words, term = buckets(batch.column("text"))
-            for ids, w in weighted(words, term, idf, batch.num_rows):
-                out[ids] += np.outer(w, w @ narrow[ids])
-        return add_up(passages.select("text"), run, terms * narrow.shape[1]).reshape(terms, -1)
-
-    basis = np.linalg.qr(product(np.random.default_rng(SEED).standard_normal((terms, width))))[0]
-    image = product(basis)
-    values, turn = np.linalg.eigh(basis.T @ image)
+    known = np.flatnonzero(document_frequency(passages)[0])
+    width = max(1, min(RANK + OVERSAMPLE, n, len(known)))
+
+    def images(batch, narrow: np.ndarray):
+        words, term = buckets(batch.column("text"))
+        for ids, w in weighted(words, term, idf, batch.num_rows):
+            ids = np.searchsorted(known, ids)
+            yield ids, w, w @ narrow[ids]
+
+    def product(batch, total):
+        out = total.reshape(len(known), width)
+        for ids, w, image in images(batch, noise(known, width)):
+            out[ids] += np.outer(w, image)
+
+    def square(batch, total):
+        out = total.reshape(width, width)
+        for _, _, image in images(batch, basis):
+            out += np.outer(image, image)
+
+    texts = passages.select("text")
+    basis = orthonormal(add_up(texts, product, len(known) * width).reshape(-1, width))
+    values, turn = np.linalg.eigh(add_up(texts, square, width * width).reshape(width, width))
     best = np.argsort(values)[::-1][:min(RANK, width)]
     best = best[values[best] > 1e-9]
-    projection = (basis @ turn[:, best]) * idf[:, None]
-    return Latent(idf, projection.astype(np.float32))
+    projection = np.empty((len(known), len(best)), np.float32)
+    for block in row_blocks(len(known)):
+        projection[block] = (basis[block] @ turn[:, best]) * idf[known[block], None]
+    return Latent(idf, projection, known)
 
 
 def cut_items(items: DataFrame, key: str, text: str, length: int) -> DataFrame:
@@ -278,8 +320,13 @@ def search(space: Latent, passages: list, items: dict[int, str]):
     """Windows of documents against a block of passages, each passage against windows of its length."""
     words, term = buckets(pa.array([p["text"] for p in passages]))
     sizes = np.bincount(words.text, minlength=len(passages))
-    vectors = np.zeros((len(passages), space.projection.shape[1]), np.float32)
-    np.add.at(vectors, words.text, space.projection[term])
+    # The row behind the last is zero: it stands for terms of no passage, and for the words that a block lacks.
+    nothing = len(space.projection)
+    projection = np.concatenate([space.projection, np.zeros((1, space.projection.shape[1]), np.float32)])
+    row_of = np.full(1 << TERM_BITS, nothing, np.int32)
+    row_of[slice(None) if space.terms is None else space.terms] = np.arange(nothing)
+    vectors = np.zeros((len(passages), projection.shape[1]), np.float32)
+    np.add.at(vectors, words.text, projection[row_of[term]])
     norm = np.linalg.norm(vectors, axis=1)
     vectors = vectors / np.maximum(norm, 1e-9)[:, None]
     scale = np.searchsorted(BLOCK * np.array(WINDOWS), sizes).clip(max=len(WINDOWS) - 1)
@@ -289,9 +336,6 @@ def search(space: Latent, passages: list, items: dict[int, str]):
     for i, t in items.items():
         sequence[i] = words_of(pa.array([t]), letters_only=True).hash.tolist()
         answers[i] = words_of(pa.array([t[answer_start(t):]]), letters_only=True).hash.tolist() or sequence[i]
-    # The row behind the last term is zero: it stands for the words that a block lacks.
-    nothing = len(space.projection)
-    projection = np.concatenate([space.projection, np.zeros((1, space.projection.shape[1]), np.float32)])
     item_places = {i: places_of(x) for i, x in sequence.items()}
     answer_places = {i: places_of(x) for i, x in answers.items()}
     rare = Rare(sequence, space.idf)
@@ -320,7 +364,7 @@ def search(space: Latent, passages: list, items: dict[int, str]):
             doc = words.text[starts]
             number = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(term)))
             grid = np.full((len(starts), BLOCK), nothing)
-            grid[number, inside % BLOCK] = term
+            grid[number, inside % BLOCK] = row_of[term]
             block = np.zeros((len(starts), projection.shape[1]), np.float32)
             for k in range(BLOCK):
                 block += projection[grid[:, k]]
@@ -364,7 +408,7 @@ def search(space: Latent, passages: list, items: dict[int, str]):
                     share, answer = check(i, around(at, at))
                     if share >= LEAK or share >= PARAPHRASE and answer >= ANSWER:
                         first = int(starts[at])
-                        window = projection[term[first:min(stop, first + width)]].sum(axis=0)
+                        window = projection[row_of[term[first:min(stop, first + width)]]].sum(axis=0)
                         cosine = float((vectors[own[i]] @ window).max() / max(1e-9, np.linalg.norm(window)))
                         best[d, i, -1 - first] = (share, answer, cosine)
             kept = [(d, i, *v) for (d, i, _), v in best.items() if v[0] >= LEAK or v[0] >= PARAPHRASE and v[1] >= ANSWER]
