@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.operators.ranking import group_quantiles, medians, position, quartile_bands, running_counts, value_counts
 from touchline.operators.skew import attach, join_by_key, number_rows, split_hot, table_bytes
 from touchline.operators.trend import rolling_mean
+from touchline.session import scratch_dir
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +67,17 @@ def test_rolling(series, limit):
             assert mean == (pytest.approx(sum(frame) / len(frame)) if frame else None)
 
 
+@pytest.mark.parametrize("limit", [8, 10_000])
+def test_rolling_over_a_stored_table_makes_no_copy(spark, series, rows, limit, monkeypatch):
+    df, _ = series
+    path = scratch_dir(spark, "test")
+    df.write.parquet(path)
+    call = lambda rows, **options: rolling_mean(rows, ["g"], [F.col("i").asc()], {"m": "v"}, 8, "n", limit, **options)
+    want = rows(call(df))
+    monkeypatch.setattr("touchline.operators.trend.freeze", lambda df: pytest.fail("a copy of the rows"))
+    assert rows(call(spark.read.parquet(path), on_disk=True)) == want
+
+
 def test_rolling_needs_a_whole_frame(series):
     with pytest.raises(ValueError):
         rolling_mean(series[0], ["g"], [F.col("i")], {"m": "v"}, 8, "n", 7)
