@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from touchline.session import scratch_dir
-from touchline.sinks.tables import Published, materialize, write_clustered, write_snapshot
+from touchline.sinks.tables import Published, clustered, materialize, write_clustered, write_snapshot
 from touchline.sources.landing import list_files, newest_file, read_newest, scan_landing
 from touchline.sources.rescue import read_with_rescue
 from touchline.sources.schemas import evolve_schema, load_schema, path_columns, save_schema
@@ -301,3 +301,62 @@ def test_a_version_records_comment_tag_and_rule_counts(spark):
     plain.publish(spark.range(0))
     row = plain.report().first()
     assert (row["checked"], row["kept"], row["rule"], row["quality"]) == (0, 0, None, None) and plain.read().count() == 0
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = []
+    while found.hasNext():
+        names.append(found.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_run_of_many_steps_keeps_no_shuffle_files(spark):
+    from touchline.session import CODEC, small_on_disk
+    out = scratch_dir(spark, "test")
+    rows = spark.range(1000, numPartitions=4).selectExpr("id % 7 AS k", "id")
+    before = shuffle_files(spark)
+    with small_on_disk(spark):
+        table = Published(spark, out)
+        table.publish(rows.groupBy("k").agg(F.sum("id").alias("s")), partition_by=["k"])
+        assert spark.conf.get(CODEC) == "zstd"
+    assert shuffle_files(spark) <= before and table.read().count() == 7
+    assert spark.conf.get(CODEC, None) is None
+
+
+def test_stored_rows_are_compressed_and_removed(spark):
+    from touchline.session import stored
+    with stored(spark.range(10_000).select("id", F.lit("x" * 100).alias("s"))) as rows:
+        sizes = [r["length"] for p in rows.inputFiles() for r in spark.read.format("binaryFile").load(p).select("length").collect()]
+        assert rows.count() == 10_000 and sum(sizes) < 200_000
+        folder = rows.inputFiles()[0].rpartition("/")[0]
+    from touchline.sinks.records import subfolders
+    assert folder not in subfolders(spark, folder.rpartition("/")[0])
+
+
+def test_a_published_table_is_laid_out_without_a_shuffle(spark):
+    """Rows dealt in turn are shuffled whole and lose their order; a copy in scans of the target size keeps it."""
+    table = Published(spark, scratch_dir(spark, "test"))
+    before = shuffle_files(spark)
+    table.publish(spark.range(0, 5000, numPartitions=8))
+    assert shuffle_files(spark) <= before and table.read().count() == 5000
+    assert len(file_bytes(spark, table)) == 1
+
+
+def test_a_large_batch_is_laid_out_in_slices_of_its_files(spark, tmp_path, monkeypatch):
+    from touchline.sinks.records import subfolders
+    from touchline.streaming import ingest as module
+    assert module.file_slices([("d2", "c", 3 << 20), ("d1", "b", 1 << 20), ("d1", "a", 1 << 20)]) == [["a", "b", "c"]]
+    monkeypatch.setattr(module, "SLICE_BYTES", 1)
+    assert module.file_slices([("d2", "c", 2), ("d1", "b", 1), ("d1", "a", 1)]) == [["a"], ["b"], ["c"]]
+    assert module.file_slices([("", "a", 0)]) == [["a"]]
+    source, place = tmp_path / "in", scratch_dir(spark, "test")
+    for i, day in enumerate(("2025-01-01", "2025-01-02", "2025-01-02", "2025-01-03", "2025-01-04", "2025-01-05")):
+        by_hand(source / f"ingestion_date={day}", f"f{i}", id=[i] * 3 if i % 2 else [str(i)] * 3)
+    written = []
+    monkeypatch.setattr(module, "clustered", lambda rows, keys: written.append(1) or clustered(rows, keys))
+    for _ in range(2):
+        ingest_files(spark, str(source), f"{place}/t", f"{place}/c", f"{place}/s", cluster_by=["ingestion_date"])
+    got = read_ingested(spark, f"{place}/t", f"{place}/s")
+    assert sorted(r["id"] for r in got.collect()) == sorted(str(i) for i in range(6) for _ in range(3)) and len(written) == 4
+    assert [f.rpartition("/")[2] for f in subfolders(spark, place)] == ["c", "s", "t"]
