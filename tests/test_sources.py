@@ -360,3 +360,13 @@ def test_a_large_batch_is_laid_out_in_slices_of_its_files(spark, tmp_path, monke
     got = read_ingested(spark, f"{place}/t", f"{place}/s")
     assert sorted(r["id"] for r in got.collect()) == sorted(str(i) for i in range(6) for _ in range(3)) and len(written) == 4
     assert [f.rpartition("/")[2] for f in subfolders(spark, place)] == ["c", "s", "t"]
+
+
+def test_a_table_published_in_parts_counts_all_of_them(spark):
+    from touchline.operators.quality import Rule
+    table = Published(spark, scratch_dir(spark, "test"))
+    rules = [Rule("even", "id % 2 = 0", "drop")]
+    for options in ({}, {"partition_by": ["k"]}):
+        table.publish([spark.range(i, i + 5).withColumn("k", F.lit("x")) for i in (0, 5, 10)], rules=rules, **options)
+        assert sorted(r["id"] for r in table.read().collect()) == list(range(0, 15, 2))
+    assert {(r["checked"], r["kept"], r["broken"]) for r in table.report().collect()} == {(15, 8, 7)}
